@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe
+from quillsieve.llm import bpe, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,5 +24,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op2_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_substring": op2_substring, "op3_simhash": op3_simhash}
 ORACLES: dict[str, str] = {}
