@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe, simhash, substring
+from quillsieve.llm import bpe, chat, license_scan, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,5 +32,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_substring": op2_substring, "op3_simhash": op3_simhash}
+def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digests(table(spark, sf_dir, "documents"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
+    return chat.digests(talk.union(extra))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat)}
 ORACLES: dict[str, str] = {}
