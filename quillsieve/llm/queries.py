@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe, chat, license_scan, simhash, substring
+from quillsieve.llm import bpe, chat, lattice, license_scan, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,5 +42,9 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(talk.union(extra))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat)}
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.link(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op8_lattice)}
 ORACLES: dict[str, str] = {}
