@@ -63,12 +63,12 @@ class Parse:
         return mix((self.prefix[hi] - self.prefix[lo]) * self.inverse[lo] + (hi - lo).astype(np.uint64))
 
     def levels(self, rounds: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(symbol, context start, context end) of level 0, 1, ..., in order of place."""
+        """(symbol, context start, context end, words) of level 0, 1, ..., in order of place."""
         off, n = self.words.off, len(self.words)
         doc = np.repeat(np.arange(len(off) - 1), np.diff(off))
         before, after = off[:-1] - 1, off[1:] + 1  # outside of any window
-        sym, lo, hi = mix(self.hash), np.arange(n), np.arange(1, n + 1)
-        yield sym, lo, hi
+        sym, lo, hi, length = mix(self.hash), np.arange(n), np.arange(1, n + 1), np.ones(n, np.int64)
+        yield sym, lo, hi, length
         for k in range(rounds):
             # Runs of a symbol: the neighbours on both sides decide.
             first = np.ones(len(sym), bool)
@@ -82,7 +82,7 @@ class Parse:
             lo = np.where((at > 0) & (doc[left] == own), lo[left], before[own])
             hi = np.where((at + size < len(sym)) & (doc[right] == own), hi[right], after[own])
             sym = np.where(size > 1, mix(sym[at] + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), sym[at])
-            doc = own
+            doc, length = own, np.add.reduceat(length, at)
             # Pairs of a symbol of one half of all names and one of the other.
             is_left = mix(sym ^ np.uint64((k + 1) * 0xA0761D6478BD642F & (1 << 64) - 1)) >> np.uint64(63) == 0
             same = np.append(doc[1:] == doc[:-1], False)  # as the next one
@@ -94,9 +94,10 @@ class Parse:
             lo = np.where(is_left, lo, last_lo)
             hi = np.where(is_left, next_hi, hi)  # of a pair: the second one's end
             hi[:-1] = np.where(pair[:-1], np.append(hi[1:], 0)[:-1], hi[:-1])
+            length = length + np.where(pair, np.append(length[1:], 0), 0)
             stay = ~merged
-            sym, lo, hi, doc = name[stay], lo[stay], hi[stay], doc[stay]
-            yield sym, lo, hi
+            sym, lo, hi, doc, length = name[stay], lo[stay], hi[stay], doc[stay], length[stay]
+            yield sym, lo, hi, length
 
     def windows(self, width: int) -> np.ndarray:
         """The first words of all windows."""
@@ -109,15 +110,17 @@ class Parse:
         key = np.zeros(len(at), np.uint64)
         place = np.full(len(at), -1, np.int64)  # level and symbol
         todo = np.arange(len(at))
-        for level, (sym, lo, hi) in reversed(list(enumerate(self.levels(rounds)))):
+        for level, (sym, lo, hi, length) in reversed(list(enumerate(self.levels(rounds)))):
             if not len(todo):
                 break
             first = np.searchsorted(lo, at[todo])
             stop = np.searchsorted(hi, at[todo] + width, side="right")
             some = stop > first
             who, first, stop = todo[some], first[some], stop[some]
-            # Smallest hash, then leftmost, of any range: a table of minima over powers of two.
-            order = mix(sym) >> np.uint64(30) << np.uint64(30) | np.arange(len(sym), dtype=np.uint64)
+            # Most words (they are the rarest), then smallest hash, then leftmost, of any range:
+            # a table of minima over powers of two.
+            order = (255 - np.minimum(length, 255)).astype(np.uint64) << np.uint64(56)
+            order = order | mix(sym) >> np.uint64(38) << np.uint64(30) | np.arange(len(sym), dtype=np.uint64)
             table = [order]
             while 2 ** len(table) <= width:
                 half, last = 2 ** (len(table) - 1), table[-1]
@@ -144,15 +147,15 @@ def _anchor_rows(width: int, rounds: int):
                 key, at, count = p.anchors(width, rounds)
                 doc = np.searchsorted(p.words.off, at, side="right") - 1
                 words = p.range_hash(at, at + count + width - 1)
-                # Repeats in a row that overlap or touch hold the windows of the first one.
+                # Rows that repeat the one right before them hold the same windows again.
                 again = np.zeros(len(at), bool)
-                again[1:] = (key[1:] == key[:-1]) & (words[1:] == words[:-1]) & (doc[1:] == doc[:-1]) & (at[1:] <= at[:-1] + count[:-1])
+                again[1:] = (key[1:] == key[:-1]) & (words[1:] == words[:-1]) & (doc[1:] == doc[:-1]) & (count[1:] == count[:-1]) & (at[1:] == at[:-1] + count[:-1])
                 first = np.flatnonzero(~again)
                 last = np.append(first[1:], len(at)) - 1 if len(first) else first
                 total = at[last] + count[last] - at[first]
                 doc, start = doc[first], at[first] - p.words.off[doc[first]]
                 ids = part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(words[first].view(np.int64)), *ids, pa.array(start << 31 | total)], ["key", "words", "doc_id", "tid", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[first].view(np.int64)), pa.array(words[first].view(np.int64)), *ids, pa.array(start << 31 | total), pa.array(count[first].astype(np.int32))], ["key", "words", "doc_id", "tid", "span", "period"])
 
     return run
 
@@ -170,13 +173,14 @@ def _window_rows(width: int):
             for part in steps(batch, 2):
                 p = Parse(part.column(2))
                 off, rows = _lists(part.column(3))
-                key, span = (np.asarray(rows.field(k)) for k in ("key", "span"))
-                count = span & (1 << 31) - 1
+                key, span, period = (np.asarray(rows.field(k)) for k in ("key", "span", "period"))
                 doc = np.repeat(np.arange(len(part)), np.diff(off))
-                at = ragged((span >> 31) + p.words.off[doc], count)
-                doc = np.repeat(doc, count)
+                at = ragged((span >> 31) + p.words.off[doc], period)
+                # A window comes back each period; its repeats cover all words from the first to the last.
+                upto = np.repeat((span & (1 << 31) - 1) - period + 1, period)
+                key, doc = np.repeat(key, period), np.repeat(doc, period)
                 ids = part.column(0).take(pa.array(doc)), part.column(1).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(key, count)), pa.array(p.range_hash(at, at + width).view(np.int64)), *ids, pa.array((at - p.words.off[doc]) << 31 | 1)], ["key", "words", "doc_id", "tid", "span"])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(p.range_hash(at, at + width).view(np.int64)), *ids, pa.array((at - p.words.off[doc]) << 31 | upto)], ["key", "words", "doc_id", "tid", "span"])
 
     return run
 
@@ -219,7 +223,7 @@ def spans(df: DataFrame, scratch: Scratch, width: int = WIDTH, rounds: int = ROU
     df: doc_id, tid, text, where tid tells rows of one doc_id apart.
     """
     rows = "key long, words long, doc_id long, tid long, span long"
-    anchors = scratch.cut(df.mapInArrow(_anchor_rows(width, rounds), rows), "anchors")
+    anchors = scratch.cut(df.mapInArrow(_anchor_rows(width, rounds), rows + ", period int"), "anchors")
     keys = anchors.groupBy("key").agg(F.min("doc_id").alias("key_low"), F.max("doc_id").alias("high")).where("key_low < high").drop("high")
     shared = scratch.cut(anchors.join(keys, "key"), "shared")
     scratch.drop(anchors)
@@ -230,7 +234,7 @@ def spans(df: DataFrame, scratch: Scratch, width: int = WIDTH, rounds: int = ROU
     scratch.drop(shared)
     # Not the first with these words: gone. First with them, in a key with other words: by window.
     whole = judged.where("doc_id > low").select("doc_id", "tid", "span")
-    firsts = judged.where("split and doc_id = low").groupBy("doc_id", "tid").agg(F.collect_list(F.struct("key", "span")).alias("rows"))
+    firsts = judged.where("split and doc_id = low").groupBy("doc_id", "tid").agg(F.collect_list(F.struct("key", "span", "period")).alias("rows"))
     texts = df.join(firsts, ["doc_id", "tid"]).select("doc_id", "tid", "text", "rows")
     windows = scratch.cut(texts.mapInArrow(_window_rows(width), rows), "windows")
     lows = windows.groupBy("key", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").drop("high")
