@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe, chat, langid, lattice, license_scan, simhash, substring
+from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(talk.union(extra))
 
 
+def op7_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.found(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.link(table(spark, sf_dir, "embeddings"))
 
@@ -50,5 +54,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op8_lattice, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op7_decontam, op8_lattice, op10_langid)}
 ORACLES: dict[str, str] = {}
