@@ -3,7 +3,8 @@
 Words lose the punctuation around them and their case; numbers, units and names become typed
 placeholders, so a question whose numbers or names were exchanged has the template of the
 original. A name is a capitalised word inside a sentence, and every capitalised occurrence of it
-in the same text. Windows of WINDOW template words are hash-joined with the benchmark's windows;
+in the same text; as that depends on the sentences around, windows without placeholders are
+matched too. Windows of WINDOW template words are hash-joined with the benchmark's windows;
 matches are verified word by word, and along each alignment of a text with an item the slots must
 be consistent: one value of the item stands for one value of the text. An item counts as found
 where consistent windows, ENOUGH or half of all its windows, agree on an alignment.
@@ -98,20 +99,22 @@ class Templates:
         keep = np.flatnonzero(some)
         self.off = np.searchsorted(keep, w.off)
         self.kind = kinds[keep]
-        self.name = np.where(self.kind == LITERAL, hashes[keep], _SLOT[self.kind])
+        plain = hashes[keep]
+        self.names = np.where(self.kind == LITERAL, plain, _SLOT[self.kind]), plain
         self.codes, self.found = codes[keep], found
 
     def core(self, i: int) -> bytes:
         return self.found[self.codes[i]][5]
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of the windows that lie within one text."""
-        n = len(self.name) - width + 1
+    def windows(self, width: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of the windows that lie within one text; plain: without placeholders."""
+        name = self.names[plain]
+        n = len(name) - width + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         sums = np.zeros(n, np.uint64)
         for k in range(width):
-            sums = mix(sums * np.uint64(0x9FB21C651E98DF25) + self.name[k : k + n])
+            sums = mix(sums * np.uint64(0x9FB21C651E98DF25) + name[k : k + n])
         doc = np.searchsorted(self.off, np.arange(n), side="right")
         inside = np.arange(n) + width <= self.off[np.minimum(doc, len(self.off) - 1)]
         at = np.flatnonzero(inside)
@@ -125,7 +128,7 @@ class Index:
         t = Templates(pa.array(texts, pa.large_string()))
         self.ids = ids
         self.words: list[list[tuple[int, bytes]]] = []
-        by_width: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
+        by_width: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.width, self.total = [], []
         at = {}
         for i in range(len(ids)):
@@ -134,29 +137,29 @@ class Index:
             width = min(WINDOW, hi - lo)
             self.width.append(width)
             self.total.append(hi - lo - width + 1 if width >= LEAST else 0)
-            if width >= LEAST and width not in at:
-                at[width] = t.windows(width)
-            if width >= LEAST:
-                places, hashes = at[width]
+            for kind in ((width, 0), (width, 1)) if width >= LEAST else ():
+                if kind not in at:
+                    at[kind] = t.windows(*kind)
+                places, hashes = at[kind]
                 a, b = np.searchsorted(places, (lo, hi - width + 1))
                 for p, h in zip(places[a:b].tolist(), hashes[a:b].tolist()):
                     if sum(k == LITERAL for k, _ in self.words[i][p - lo : p - lo + width]) >= min(LITERALS, width):
-                        by_width[width][h].append((i, p - lo))
+                        by_width[kind][h].append((i, p - lo))
         self.places = {w: dict(d) for w, d in by_width.items()}
         self.hashes = {w: np.sort(np.fromiter(d, np.uint64, len(d))) for w, d in by_width.items()}
 
     def search(self, t: Templates) -> Iterator[tuple[int, int, int, float, bool]]:
         """(text, item, windows, share of the item's windows, whether all slots are equal)."""
         met: dict[tuple[int, int, int], list[int]] = defaultdict(list)
-        for width, hashes in self.hashes.items():
-            at, own = t.windows(width)
+        for kind, hashes in self.hashes.items():
+            at, own = t.windows(*kind)
             if not len(at):
                 continue
             near = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
             hit = np.flatnonzero(hashes[near] == own)
             docs = np.searchsorted(t.off, at[hit], side="right") - 1
             for doc, p, h in zip(docs.tolist(), at[hit].tolist(), own[hit].tolist()):
-                for item, q in self.places[width][h]:
+                for item, q in self.places[kind][h]:
                     met[doc, item, p - q].append(q)
         best: dict[tuple[int, int], tuple[int, float, bool]] = {}
         for (doc, item, shift), places in met.items():
@@ -178,7 +181,7 @@ class Index:
             for j in range(q, q + width):
                 kind, core = words[j]
                 there = t.core(shift + j)
-                if kind != t.kind[shift + j] or (kind == LITERAL and core != there):
+                if core != there and (kind == LITERAL or kind != t.kind[shift + j]):
                     break
                 if kind != LITERAL and value.get((kind, core), new.setdefault((kind, core), there)) != there:
                     break
