@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, simhash, substring
+from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, rollup, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,9 +50,13 @@ def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.link(table(spark, sf_dir, "embeddings"))
 
 
+def op9_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.replay(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op7_decontam, op8_lattice, op10_langid)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op7_decontam, op8_lattice, op9_rollup, op10_langid)}
+ORACLES: dict[str, str] = {"op9_rollup": rollup.oracle()}
