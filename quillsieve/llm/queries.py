@@ -6,7 +6,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, rollup, simhash, substring
+from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, lm, rollup, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     talk = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn", "if(id = 0, 'user', 'assistant') AS role", "'</s>[INST] ok [/INST]' AS text")
@@ -58,5 +62,5 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op6_chat, op7_decontam, op8_lattice, op9_rollup, op10_langid)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_substring, op3_simhash, op4_license, op5_lm, op6_chat, op7_decontam, op8_lattice, op9_rollup, op10_langid)}
 ORACLES: dict[str, str] = {"op9_rollup": rollup.oracle()}
