@@ -12,6 +12,7 @@ rows and ties are left as they are; a column with the name of an output is repla
 from __future__ import annotations
 
 import base64
+import struct
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -27,7 +28,7 @@ from quillsieve.llm.arrays import add_columns, binary, bounds, mix, quoted, ragg
 #: Code points with the Unicode property White_Space (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: Remembered pre-tokens of a Python worker; when full, all are forgotten.
-MEMORY = 400_000
+MEMORY = 300_000
 
 
 class PerfectHash:
@@ -103,7 +104,7 @@ class Vocabulary:
             by_id[i] = token
         self.text_off = np.concatenate([[0], np.cumsum([len(t) for t in by_id])]).astype(np.int64)
         self.text = np.frombuffer(b"".join(by_id), np.uint8)
-        self.known: dict[bytes, list[int]] = {}  # a Python worker's, over its tasks
+        self.known: dict[bytes, bytes] = {}  # packed ids; a Python worker's, over its tasks
 
     def merge(self, word: bytes) -> list[int]:
         """Merge the pair of lowest rank, leftmost first, until none is left."""
@@ -134,16 +135,18 @@ class Vocabulary:
             i = end[i]
         return ids
 
-    def resolve(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of distinct pre-tokens; those of earlier slices are remembered."""
+    def resolve(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct pre-tokens; those of earlier slices are remembered."""
         known = self.known
         fresh = [w for w in words if w not in known]
         if len(known) + len(fresh) > MEMORY:
             known.clear()
             fresh = words
         if fresh:
+            pack = [struct.Struct(f"<{n}I").pack for n in range(self.longest + 1)]
             for word, slot in zip(fresh, self.hash.find(fresh).tolist()):
-                known[word] = [int(self.ids[slot])] if self.tokens[slot] == word else self.merge(word)
+                ids = [int(self.ids[slot])] if self.tokens[slot] == word else self.merge(word)
+                known[word] = pack[len(ids)](*ids) if len(ids) < len(pack) else struct.pack(f"<{len(ids)}I", *ids)
         return [known[w] for w in words]
 
 
@@ -163,8 +166,8 @@ def _encoder(shared):
             return [binary(np.zeros(len(arr) + 1, np.int64), np.zeros(0, np.uint8))]
         index = coded.indices.to_numpy(zero_copy_only=False)
         found = voc.resolve(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
         starts = np.cumsum(sizes) - sizes
         ids = flat[ragged(starts[index], sizes[index])]
         upto = np.concatenate([[0], np.cumsum(sizes[index])])[ends]

@@ -21,6 +21,7 @@ by ``clean`` and ignored by ``found``.
 from __future__ import annotations
 
 import re
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -35,7 +36,7 @@ from quillsieve.llm.arrays import Words, mix, quoted, steps
 WINDOW, LEAST, LITERALS, ENOUGH = 8, 4, 4, 6
 BLOCK_ITEMS = 20_000
 #: Remembered words of a Python worker; when full, all are forgotten.
-MEMORY = 400_000
+MEMORY = 300_000
 
 UNITS = set(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons "
@@ -66,17 +67,20 @@ def describe(word: bytes) -> tuple[int, int, bool, bool, bool, bytes]:
     return xxhash.xxh3_64_intdigest(data), kind, core[:1].isupper(), raw.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":"), bool(core), data
 
 
-_KNOWN: dict[bytes, tuple] = {}
+_RECORD = np.dtype([("hash", "<u8"), ("kind", "i1"), ("capital", "?"), ("ends", "?"), ("some", "?")])
+_PACK = struct.Struct("<Qb???").pack
+_KNOWN: dict[bytes, bytes] = {}
 
 
-def _described(words: list[bytes]) -> list[tuple]:
+def _described(words: list[bytes]) -> np.ndarray:
+    """A record for each word; those of earlier slices are remembered."""
     fresh = [w for w in words if w not in _KNOWN]
     if len(_KNOWN) + len(fresh) > MEMORY:
         _KNOWN.clear()
         fresh = words
     for w in fresh:
-        _KNOWN[w] = describe(w)
-    return [_KNOWN[w] for w in words]
+        _KNOWN[w] = _PACK(*describe(w)[:5])
+    return np.frombuffer(b"".join([_KNOWN[w] for w in words]), _RECORD)
 
 
 class Templates:
@@ -86,9 +90,7 @@ class Templates:
         w = Words(arr)
         codes, distinct = w.codes()
         found = _described(distinct)
-        n = len(distinct)
-        column = lambda k, kind: np.fromiter((f[k] for f in found), kind, n)[codes]
-        hashes, kinds, capital, ends, some = column(0, np.uint64), column(1, np.int8), column(2, bool), column(3, bool), column(4, bool)
+        hashes, kinds, capital, ends, some = (found[k][codes] for k in _RECORD.names)
         doc = np.repeat(np.arange(len(arr)), w.counts)
         first = np.ones(len(codes), bool)
         first[1:] = ends[:-1] | (doc[1:] != doc[:-1])
@@ -101,10 +103,10 @@ class Templates:
         self.kind = kinds[keep]
         plain = hashes[keep]
         self.names = np.where(self.kind == LITERAL, plain, _SLOT[self.kind]), plain
-        self.codes, self.found = codes[keep], found
+        self.codes, self.distinct = codes[keep], distinct
 
     def core(self, i: int) -> bytes:
-        return self.found[self.codes[i]][5]
+        return describe(self.distinct[self.codes[i]])[5]
 
     def windows(self, width: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of the windows that lie within one text; plain: without placeholders."""

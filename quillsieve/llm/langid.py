@@ -18,6 +18,8 @@ rows and very long texts are handled like any other.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -31,7 +33,7 @@ SAMPLE_CHARS = 120_000
 SAMPLE_TEXTS = 100
 MAX_LANGUAGES = 256
 #: Remembered words of a Python worker; when full, all are forgotten.
-MEMORY = 500_000
+MEMORY = 300_000
 UNKNOWN = "und"
 
 
@@ -106,7 +108,7 @@ class Model:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         self.automata = [SuffixAutomaton(dict.fromkeys(samples[name])) for name in self.languages]
-        self.known: dict[bytes, tuple[float, ...]] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def costs(self, word: bytes) -> tuple[float, ...]:
         """Letters of a word, and its bits in each language (zeros if it has no letter)."""
@@ -121,9 +123,10 @@ class Model:
         if len(known) + len(fresh) > MEMORY:
             known.clear()
             fresh = words
+        pack = struct.Struct(f"<{1 + len(self.automata)}d").pack
         for w in fresh:
-            known[w] = self.costs(w)
-        return np.array([known[w] for w in words], np.float64).reshape(len(words), 1 + len(self.automata))
+            known[w] = pack(*self.costs(w))
+        return np.frombuffer(b"".join([known[w] for w in words]), "<f8").reshape(len(words), 1 + len(self.automata))
 
     def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. Score: how far the second language is behind."""
