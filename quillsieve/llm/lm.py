@@ -298,10 +298,11 @@ def _score_rows(shared, weights):
 
 
 def frequent(docs: DataFrame) -> list[bytes]:
-    """The most frequent words of a bounded sample of texts."""
-    sample = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("h").limit(SAMPLE_DOCS).collect()
+    """The most frequent words of a bounded sample of texts, drawn by hash."""
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    drawn = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.col("h") <= min(2**63 - 1, int((2 * share - 1) * 2**63)))
     counts: Counter[bytes] = Counter()
-    for row in sample:
+    for row in drawn.limit(2 * SAMPLE_DOCS).toLocalIterator():
         counts.update((row["text"] or "").encode().lower().split())
     return [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT]]
 
