@@ -1,6 +1,475 @@
-"""Registered queries and their DuckDB counterparts."""
+"""Registered queries over the test tables, and the DuckDB SQL that each must agree with.
+
+``query`` registers a function of (spark, sf_dir) under its name; an SQL text goes with it where
+SQL can express the operator.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import uuid
+from collections.abc import Callable
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillsieve.functions import articles, dates, urls
+from quillsieve.functions import html as pages_
+from quillsieve.functions import text as t
+from quillsieve.operators import audit, route, rules, select
+from quillsieve.sources import catalogue, pages
+from quillsieve.sources.scratch import shared_dir
+from quillsieve.sources.state import State
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+#: Words of the test tables that stand in for keyword lists.
+GOOD, BAD, PLACES = ["the", "of", "and"], ["with", "des", "und"], {"north": ["that", "le"], "south": ["for", "der"], "west": ["la", "was"]}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# DuckDB counterparts of the text functions
+
+S = r"[\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+
+
+def _sub(c: str, pattern: str, to: str, flags: str = "g") -> str:
+    return f"regexp_replace({c}, '{pattern.replace(chr(39), chr(39) * 2)}', '{to.replace(chr(39), chr(39) * 2)}', '{flags}')"
+
+
+def sql_trim(c: str) -> str:
+    return _sub(c, f"^{S}+|{S}+$", "")
+
+
+def sql_strip(c: str) -> str:
+    out = _sub(f"coalesce({c}, '')", "<[^>]*>", " ")
+    for name, to in t.ENTITIES:
+        out = _sub(out, f"&{name};", to, "gi" if name[0] != "#" else "g")
+    return sql_trim(_sub(out, f"{S}+", " "))
+
+
+def sql_norm(c: str) -> str:
+    return f"trim(regexp_replace(replace(lower(coalesce({c}, '')), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+
+
+def sql_word(c: str, words: list[str]) -> str:
+    return f"regexp_matches(lower(coalesce({c}, '')), '\\b(?:{'|'.join(words)})\\b')"
+
+
+def sql_count(c: str, words: list[str]) -> str:
+    return "(" + " + ".join(f"len(regexp_extract_all(lower(coalesce({c}, '')), '\\b{w}\\b'))" for w in words) + ")"
+
+
+lower = lambda c: F.lower(t.text(F.col(c)))
+label = lambda c: F.when(t.any_word(lower(c), BAD), "rejected").when(t.any_word(lower(c), GOOD), "good").otherwise("unclassified")
+SQL_LABEL = f"CASE WHEN {sql_word('text', BAD)} THEN 'rejected' WHEN {sql_word('text', GOOD)} THEN 'good' ELSE 'unclassified' END"
+SQL_HOST = "lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1))"
+SQL_PATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+
+
+@query(f"WITH d AS (SELECT doc_id, text, sha256({sql_norm('text')}) AS id FROM documents), f AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY id ORDER BY doc_id) = 1) SELECT {SQL_LABEL} AS label, count(*) AS n FROM f GROUP BY 1")
+def flagship_labels(spark, sf_dir):
+    """Titles, ids, first-wins dedupe, label, counts."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", urls.sha(t.normalize_title(F.col("text"))).alias("id"))
+    return select.first_wins(d, ["id"], ["doc_id"]).groupBy(label("text").alias("label")).agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT page_id, {sql_strip('html')} AS plain FROM pages")
+def f1_strip_html(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", t.strip_html(F.col("html"), numeric=False).alias("plain"))
+
+
+@query(f"WITH p AS (SELECT page_id, {sql_strip('html')} AS x FROM pages) SELECT page_id, CASE WHEN length(x) <= 600 THEN x ELSE {sql_trim(_sub('substr(x, 1, 600)', r'\s+\S*$', ''))} || '.' END AS short FROM p")
+def f2_clean_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", t.clean_text(F.col("html"), 600, numeric=False).alias("short"))
+
+
+@query(
+    f"WITH p AS (SELECT doc_id, {sql_strip('text')} AS x FROM documents), q AS (SELECT doc_id, CASE WHEN length(x) <= 180 THEN x ELSE {sql_trim(_sub('substr(x, 1, 180)', r'\s+\S*$', ''))} || '.' END AS x FROM p) SELECT doc_id, "
+    + sql_trim(_sub(_sub(_sub(_sub("x", r"\s+[|-]\s+(?:latest news|news|real estate news)$", "", "i"), r"^(?:watch|photos?|video):\s*", "", "i"), rf"\s*(?:{t.MONTHS})\.?\s+\d{{1,2}},?\s+\d{{4}}.*$", "", "i"), rf"\s*\d{{1,2}}\s+(?:{t.MONTHS})\.?\s+\d{{4}}.*$", "", "i"))
+    + " AS title FROM q"
+)
+def f3_clean_title(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", t.clean_title(F.col("text"), numeric=False).alias("title"))
+
+
+@query(f"SELECT doc_id, {sql_norm('text')} AS normal FROM documents")
+def f5_normalize_title(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", t.normalize_title(F.col("text")).alias("normal"))
+
+
+@query(f"SELECT conv_id, turn, coalesce(nullif({sql_trim('text')}, ''), nullif({sql_trim('role')}, ''), '') AS first FROM conversations")
+def f6_first_of(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", t.first_of(F.col("text"), F.col("role")).alias("first"))
+
+
+def as_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as article rows."""
+    p = table(spark, sf_dir, "pages")
+    return articles.ensure(p.select("page_id", F.col("page_id").alias("seq"), F.col("url").alias("newsLink"), F.regexp_extract("url", "([^/?#]*)/?(?:[?#].*)?$", 1).alias("title"), urls.host(F.col("url")).alias("postedBy")))
+
+
+SQL_ARTICLES = f"(SELECT page_id, url AS newsLink, regexp_extract(url, '([^/?#]*)/?(?:[?#].*)?$', 1) AS title, {SQL_HOST} AS postedBy FROM pages)"
+
+
+@query(f"SELECT page_id, sha256(lower(concat_ws('|', nullif(newsLink, ''), nullif(title, ''), nullif(postedBy, '')))) AS id FROM {SQL_ARTICLES}")
+def f7_stable_id(spark, sf_dir):
+    return as_articles(spark, sf_dir).select("page_id", articles.stable_id().alias("id"))
+
+
+@query("SELECT page_id, sha256(lower(regexp_replace(url, '[?#].*$', ''))) AS id FROM pages")
+def f8_link_id(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.url_id(F.col("url")).alias("id"))
+
+
+@query(f"SELECT page_id, CASE WHEN {sql_norm('title')} = '' THEN '' ELSE sha256({sql_norm('title')}) END AS title_id, sha256(coalesce(nullif({sql_norm('title')}, ''), '')) AS city_id FROM {SQL_ARTICLES}")
+def f9_title_ids(spark, sf_dir):
+    return as_articles(spark, sf_dir).select("page_id", articles.title_id().alias("title_id"), articles.title_city_id().alias("city_id"))
+
+
+@query(f"SELECT page_id, concat_ws(',', sha256(lower(regexp_replace(newsLink, '[?#].*$', ''))), CASE WHEN {sql_norm('title')} <> '' THEN sha256({sql_norm('title')}) END) AS ids FROM {SQL_ARTICLES}")
+def f10_dedupe_ids(spark, sf_dir):
+    return as_articles(spark, sf_dir).select("page_id", F.array_join(articles.dedupe_ids(), ",").alias("ids"))
+
+
+@query("SELECT page_id, regexp_matches(url, '^https?://[^/?#\\s]+') AS http, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/a/b?x=1' AS joined FROM pages")
+def f11_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_http(F.col("url")).alias("http"), urls.absolute(F.lit("/a/./c/../b?x=1"), F.col("url")).alias("joined"))
+
+
+@query(f"SELECT page_id, regexp_matches({SQL_PATH}, '(?i)[.](?:xml|rss|atom)$') OR regexp_matches({SQL_PATH}, '(?i)(?:^|/)(?:rss|feeds?|atom)(?:/|$)') OR regexp_matches(regexp_extract(url, '[?][^#]*'), '(?i)[?&](?:output|format)=(?:rss|xml|atom)\\b') AS feed FROM pages")
+def f12_is_feed(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.is_feed(F.col("url")).alias("feed"))
+
+
+@query(f"SELECT title, '' AS description, '' AS cityCode, true AS isActive, newsLink, '' AS thumbnailImage, postedBy, '2026-07-01T00:00:00.000Z' AS createdAt, '' AS postedByLogo FROM {SQL_ARTICLES}")
+def f13_payload(spark, sf_dir):
+    return articles.payload(as_articles(spark, sf_dir), F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp"))
+
+
+@query(f"SELECT page_id, lower(title) || ' ' AS primary_text, lower(title) || '   ' || lower(newsLink) AS search_text, lower(title) || ' ' || lower(newsLink) AS title_url, 0 AS priority FROM {SQL_ARTICLES}")
+def f15_views(spark, sf_dir):
+    v = articles.views()
+    return as_articles(spark, sf_dir).select("page_id", v["primary"].alias("primary_text"), v["search"].alias("search_text"), v["title_url"].alias("title_url"), articles.priority().alias("priority"))
+
+
+_SHAPES = "CASE o_orderpriority WHEN '1-URGENT' THEN {0} WHEN '2-HIGH' THEN {1} WHEN '3-MEDIUM' THEN {2} WHEN '5-LOW' THEN {4} ELSE {3} END"
+
+
+@query(f"SELECT o_orderkey, epoch_ms(CAST({_SHAPES.format('o_orderdate', 'o_orderdate', "o_orderdate + INTERVAL 540 MINUTE - INTERVAL 330 MINUTE", "o_orderdate - INTERVAL 330 MINUTE", 'o_orderdate + INTERVAL 840 MINUTE')} AS TIMESTAMP)) AS millis FROM orders")
+def d1_parse_dates(spark, sf_dir):
+    """Dates written in five shapes and read again."""
+    d = "date_format(o_orderdate, '{}')".format
+    shapes = _SHAPES.format(d("MMM d, yyyy"), d("yyyy-MM-dd"), f"concat('Updated on: ', {d('MMMM d, yyyy')}, ' 9:00 AM IST')", f"concat('By a reporter, ', {d('d MMM yyyy')})", f"concat({d('d MMMM yyyy')}, ', 14:00 GMT')")
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.unix_millis(dates.parse(F.expr(shapes))).alias("millis"))
+
+
+@query("SELECT event_id, epoch_ms(date_trunc('day', ts)) AS shared, epoch_ms(date_trunc('second', ts)) AS own FROM events")
+def d3_created_at(spark, sf_dir):
+    raw = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    made = lambda shared: F.unix_millis(dates.created_at(F.lit(""), raw, F.lit(""), F.lit(None).cast("timestamp"), F.lit(shared)))
+    return table(spark, sf_dir, "events").select("event_id", made(True).alias("shared"), made(False).alias("own"))
+
+
+@query("SELECT event_id, epoch_ms(date_trunc('minute', ts)) - 19800000 AS millis FROM events")
+def d5_notice_date(spark, sf_dir):
+    name = F.concat(F.lit("/n/NEWS_"), F.date_format("ts", "yyyyMMddHHmm"), F.lit("_a.pdf"))
+    return table(spark, sf_dir, "events").select("event_id", F.unix_millis(dates.notice_date(name)).alias("millis"))
+
+
+@query(f"SELECT doc_id, regexp_matches(lower(coalesce(text, '')), 'tion|ung') AS part, {sql_word('text', GOOD)} AS word, {sql_count('text', GOOD)} AS mentions, regexp_matches(coalesce(text, ''), '[\\x{{0900}}-\\x{{097F}}]') AS foreign_script FROM documents")
+def p_text_matching(spark, sf_dir):
+    x = lower("text")
+    return table(spark, sf_dir, "documents").select("doc_id", t.any_of(x, ["tion", "ung"]).alias("part"), t.any_word(x, GOOD).alias("word"), t.mentions(x, GOOD).cast("long").alias("mentions"), t.text(F.col("text")).rlike(rules.DEVANAGARI).alias("foreign_script"))
+
+
+_N = {k: sql_count("text", v) for k, v in PLACES.items()}
+
+
+@query(f"SELECT doc_id, {_N['north']} >= 1 AND {_N['north']} = {' + '.join(_N.values())} AS strong FROM documents")
+def p4_strong_match(spark, sf_dir):
+    n = {k: t.mentions(lower("text"), v) for k, v in PLACES.items()}
+    return table(spark, sf_dir, "documents").select("doc_id", ((n["north"] >= 1) & (n["north"] == n["north"] + n["south"] + n["west"])).alias("strong"))
+
+
+@query(f"SELECT doc_id, {SQL_LABEL} AS label FROM documents")
+def r25_label(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", label("text").alias("label"))
+
+
+_WHY = [("short", "coalesce(n_chars, 0) < 500"), ("bad word", sql_word("text", BAD)), ("no good word", f"NOT {sql_word('text', GOOD)}"), ("no language", "lang IS NULL")]
+SQL_WHY = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _WHY) + "], lambda x: x IS NOT NULL)"
+
+
+def with_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = lower("text")
+    listed = [(F.coalesce("n_chars", F.lit(0)) < 500), t.any_word(x, BAD), ~t.any_word(x, GOOD), F.col("lang").isNull()]
+    return table(spark, sf_dir, "documents").withColumn("reasons", F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, (n, _) in zip(listed, _WHY)])))
+
+
+@query(f"SELECT doc_id, array_to_string({SQL_WHY}, '; ') AS reasons FROM documents")
+def r26_reasons(spark, sf_dir):
+    return with_reasons(spark, sf_dir).select("doc_id", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query(f"SELECT doc_id FROM documents WHERE len({SQL_WHY}) = 0")
+def w7_publishable(spark, sf_dir):
+    return with_reasons(spark, sf_dir).where(F.size("reasons") == 0).select("doc_id")
+
+
+@query()
+def r_rules(spark, sf_dir):
+    """All rules, routing and reasons with documents as articles."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("title"), F.col("text").alias("articleText"), F.concat(F.lit("https://example.com/"), F.col("source")).alias("newsLink"))
+    out = route.fan_out(route.assign(articles.ensure(d), rules.Pack.default()), rules.Pack.default())
+    return out.select("seq", "cityCode", F.col("rules.label").alias("label"), F.array_join(rules.reasons(F.lit(False)), "; ").alias("reasons"))
+
+
+SQL_DEEP = "regexp_extract(url, '^[a-z]+://(?:www[.])?([^?#]*?)/*(?:[?#].*)?$', 1)"
+
+
+@query(f"WITH k AS (SELECT page_id, {SQL_DEEP} AS key FROM pages) SELECT page_id FROM k WHERE key IN (SELECT min(key) FROM k UNION ALL SELECT max(key) FROM k)")
+def w1_allowed_sources(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    key = F.regexp_extract("url", r"^[a-z]+://(?:www[.])?([^?#]*?)/*(?:[?#].*)?$", 1)
+    ends = p.agg(F.min(key).alias("a"), F.max(key).alias("b")).first()
+    return select.allowed_sources(p, [f"https://{ends['a']}/", f"http://www.{ends['b']}"]).select("page_id")
+
+
+@query("SELECT event_id FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-05 23:59:59.999'")
+def w4_date_window(spark, sf_dir):
+    lo, hi = dates.window("2024-01-02", "2024-01-05", datetime(2026, 1, 1, tzinfo=UTC))
+    return table(spark, sf_dir, "events").where(select.in_window(F.col("ts").cast("timestamp"), F.lit(lo), F.lit(hi))).select("event_id")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderdate BETWEEN TIMESTAMP '1998-07-12' AND TIMESTAMP '1998-08-01'")
+def w5_lookback(spark, sf_dir):
+    lo, hi = dates.window(None, None, datetime(1998, 8, 1, tzinfo=UTC))
+    return table(spark, sf_dir, "orders").where(select.in_window(F.col("o_orderdate").cast("timestamp"), F.lit(lo), F.lit(hi))).select("o_orderkey")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING')")
+def w3_city_filter(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").withColumn("cityCode", F.lower("c_mktsegment"))
+    return c.where(select.city_filter(["Building", "nowhere"], ["building", "machinery"])).select("c_custkey")
+
+
+@query(f"SELECT doc_id FROM documents WHERE {sql_norm('text')} NOT IN (SELECT {sql_norm('text')} FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 AND {sql_norm('text')} <> '')")
+def w6_skip_titles(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    bad = d.join(table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
+    return select.without_titles(d, bad, "text", "text").select("doc_id")
+
+
+@query(f"SELECT page_id, concat_ws(', ', CASE WHEN trim(title) = '' THEN 'title' END, 'description', 'cityCode', 'thumbnailImage', CASE WHEN postedBy = '' THEN 'postedBy' END, 'postedByLogo') AS missing, 'thumbnailImage, postedByLogo' AS invalid FROM {SQL_ARTICLES}")
+def w8_fields(spark, sf_dir):
+    return as_articles(spark, sf_dir).select("page_id", F.array_join(articles.missing_fields(), ", ").alias("missing"), F.array_join(articles.invalid_urls(), ", ").alias("invalid"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_quantity = 50 AND l_partkey IN (o_orderkey, o_custkey))")
+def j1_not_seen(spark, sf_dir):
+    """Anti join on any of several ids."""
+    o = table(spark, sf_dir, "orders")
+    sent = table(spark, sf_dir, "lineitem").where("l_quantity = 50").select(F.col("l_partkey").alias("id"))
+    seen = select.seen_rows(o, sent, "o_orderkey", F.array("o_orderkey", "o_custkey"))
+    return o.join(seen, "o_orderkey", "left_anti").select("o_orderkey")
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id, '{k}' AS code FROM documents WHERE {sql_word('text', v)}" for k, v in PLACES.items()))
+def j3_all_rules(spark, sf_dir):
+    """Each document with every rule that matches it."""
+    hits = F.array_compact(F.array(*[F.when(t.any_word(lower("text"), v), F.lit(k)) for k, v in PLACES.items()]))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(hits).alias("code"))
+
+
+@query("SELECT doc_id, CASE " + " ".join(f"WHEN {sql_word('text', v)} THEN '{k}'" for k, v in PLACES.items()) + " END AS code FROM documents")
+def j4_first_rule(spark, sf_dir):
+    """Each document with the first rule that matches it."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(*[F.when(t.any_word(lower("text"), v), F.lit(k)) for k, v in PLACES.items()]).alias("code"))
+
+
+@query("SELECT s_suppkey, coalesce(n_name, 'unknown') AS nation FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND n_regionkey < 3")
+def j5_lookup(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").where("n_regionkey < 3")
+    return table(spark, sf_dir, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", F.coalesce("n_name", F.lit("unknown")).alias("nation"))
+
+
+@query("SELECT o_orderkey, coalesce(c_mktsegment, o_orderstatus) AS told FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey")
+def j7_enrich(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").where("c_acctbal > 0")
+    return table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.coalesce("c_mktsegment", "o_orderstatus").alias("told"))
+
+
+SQL_CODES = "list_filter([" + ", ".join(f"CASE WHEN {sql_word('text', v)} THEN '{k}' END" for k, v in PLACES.items()) + "], lambda x: x IS NOT NULL)"
+
+
+@query(f"WITH d AS (SELECT doc_id, {SQL_CODES} AS codes FROM documents) SELECT doc_id, code, len(codes) > 1 AS shared FROM d, unnest(CASE WHEN len(codes) = 0 THEN [''] ELSE codes END) AS u(code)")
+def t1_fan_out(spark, sf_dir):
+    """A row for each city; the row itself without one."""
+    hits = F.array_compact(F.array(*[F.when(t.any_word(lower("text"), v), F.lit(k)) for k, v in PLACES.items()]))
+    d = table(spark, sf_dir, "documents").select("doc_id", hits.alias("codes"))
+    return d.select("doc_id", F.explode_outer("codes").alias("code"), (F.size("codes") > 1).alias("shared")).withColumn("code", F.coalesce("code", F.lit("")))
+
+
+@query()
+def t3_greedy_unique(spark, sf_dir):
+    """Greedy dedupe of documents by text and by normalised text."""
+    d = table(spark, sf_dir, "documents")
+    ids = F.array(F.sha2(t.text(F.col("text")), 256), F.concat(F.lit("n"), F.sha2(t.normalize_title(F.col("text")), 256)))
+    return select.greedy_unique(d.withColumn("ids", ids), "doc_id", "ids").select("doc_id")
+
+
+@query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1")
+def t4_first_wins(spark, sf_dir):
+    return select.first_wins(table(spark, sf_dir, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT event_type, user_id, max_by(value, event_id) AS value, min(event_id) AS event_id FROM events GROUP BY ALL")
+def t6_last_wins(spark, sf_dir):
+    return select.last_wins(table(spark, sf_dir, "events").select("event_type", "user_id", "value", "event_id"), ["event_type", "user_id"], "event_id")
+
+
+def _orders(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("seq"), (F.col("o_orderstatus") == "F").alias("sharedCityArticle"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publishedAt"), F.lit("").alias("cityCode"))
+
+
+@query("SELECT seq, row_number() OVER (ORDER BY n) AS place FROM (SELECT o_orderkey AS seq, row_number() OVER (ORDER BY o_orderstatus = 'F', o_orderdate DESC, o_orderkey) AS n FROM orders) WHERE n <= 30")
+def t7_t9_select_top(spark, sf_dir):
+    """The thirty rows that a run would choose."""
+    top = _orders(spark, sf_dir).orderBy(*select.select_order()).limit(30)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*select.select_order()))).select("seq", "place")
+
+
+@query("SELECT seq, row_number() OVER (ORDER BY n) AS place FROM (SELECT o_orderkey AS seq, row_number() OVER (ORDER BY o_orderstatus = 'F' DESC, o_orderdate, o_orderkey) AS n FROM orders) WHERE n <= 30")
+def t8_push_order(spark, sf_dir):
+    top = _orders(spark, sf_dir).orderBy(*select.push_order()).limit(30)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*select.push_order()))).select("seq", "place")
+
+
+@query("SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20")
+def t10_per_source_limit(spark, sf_dir):
+    return select.per_group_limit(table(spark, sf_dir, "documents"), ["source"], ["doc_id"], 20).select("source", "doc_id")
+
+
+@query("SELECT source, arg_max(doc_id, (length(text), -doc_id)) AS doc_id FROM documents WHERE text IS NOT NULL GROUP BY source")
+def t11_longest(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("text is not null").groupBy("source").agg(F.max_by("doc_id", F.struct(F.length("text"), -F.col("doc_id"))).alias("doc_id"))
+
+
+@query("SELECT p_brand, array_to_string(list_sort(list(DISTINCT p_size)), ',') AS sizes FROM part GROUP BY p_brand")
+def t12_numeric_sort(spark, sf_dir):
+    labels = F.collect_set(F.concat(F.lit("Size "), F.col("p_size").cast("string")))
+    number = lambda x: F.regexp_extract(x, r"\d+", 0).cast("int")
+    return table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_join(F.transform(F.array_sort(F.transform(labels, number)), lambda x: x.cast("string")), ",").alias("sizes"))
+
+
+@query("SELECT 'supplier' AS kind, s_suppkey AS key, s_name AS name FROM supplier UNION ALL SELECT 'customer', c_custkey, c_name FROM customer")
+def t14_union(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"))
+    return s.unionByName(table(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name")))
+
+
+@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest({SQL_WHY}) AS reason FROM documents) GROUP BY 1")
+def a1_reason_counts(spark, sf_dir):
+    return audit.reason_counts(with_reasons(spark, sf_dir))
+
+
+@query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def a2_category_counts(spark, sf_dir):
+    return audit.category_counts(table(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@query("SELECT count(*) FILTER (o_orderstatus = 'F') AS n_shared, count(*) FILTER (o_orderstatus <> 'F') AS n_specific FROM orders")
+def a3_push_counts(spark, sf_dir):
+    return audit.push_counts(_orders(spark, sf_dir))
+
+
+@query(f"SELECT doc_id, {_N['north']} AS target, {_N['south']} AS outside, {_N['north']} / greatest(1, {_N['north']} + {_N['south']}) >= 0.67 AS dominant FROM documents")
+def a4_mention_ratio(spark, sf_dir):
+    a, b = (t.mentions(lower("text"), PLACES[k]).cast("long") for k in ("north", "south"))
+    return table(spark, sf_dir, "documents").select("doc_id", a.alias("target"), b.alias("outside"), (a / F.greatest(F.lit(1), a + b) >= 0.67).alias("dominant"))
+
+
+_PAGED = ["https://realty.economictimes.indiatimes.com/tag/x", "https://www.hindustantimes.com/real-estate", "https://propnewstime.com/", "https://example.com/a"]
+
+
+@query(
+    f"WITH u AS (SELECT unnest({_PAGED}) AS url), p AS (SELECT url, n FROM u, generate_series(1, 15) AS g(n) WHERE n = 1 OR url NOT LIKE '%example%') SELECT url, n AS page, CASE WHEN n = 1 THEN url WHEN url LIKE '%/tag/%' THEN url || '/' || n WHEN url LIKE '%real-estate' THEN url || '/page-' || n ELSE url || 'page/' || n || '/' END AS page_url FROM p"
+)
+def s11_page_urls(spark, sf_dir):
+    d = spark.createDataFrame([(u,) for u in _PAGED], "url string")
+    return d.select("url", F.posexplode(urls.page_urls(F.col("url"))).alias("page", "page_url")).withColumn("page", (F.col("page") + 1).cast("long"))
+
+
+@query("WITH n AS (SELECT n_nationkey AS seq, n_name AS company, CASE WHEN n_regionkey = 1 THEN 'Developer' ELSE 'News' END AS category, 'https://N' || n_nationkey || '.example.com/x' AS base FROM nation), p AS (SELECT * FROM (VALUES (0, true, 'Media Centre', '/media/'), (0, false, 'Latest News', '/'), (1, false, 'News Category', '/news')) AS v(pseq, developer, kind, path)), a AS (SELECT company, category, 'https://n' || seq || '.example.com' || CASE WHEN path = '/' THEN '/' ELSE rtrim(path, '/') END AS url, kind AS urlType, seq * 1000000 + pseq AS seq FROM n JOIN p ON developer = (category = 'Developer') UNION ALL SELECT 'Exact', 'News', 'https://n0.example.com/news', 'Real Estate Section', (1::BIGINT << 50)) SELECT url, max_by(company, seq) AS company, max_by(urlType, seq) AS kind, min(seq) AS seq FROM a GROUP BY url")
+def s17_candidates(spark, sf_dir):
+    seeds = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("seq"), F.col("n_name").alias("company"), F.when(F.col("n_regionkey") == 1, "Developer").otherwise("News").alias("category"), F.lit("").alias("region"), F.concat(F.lit("https://N"), F.col("n_nationkey"), F.lit(".example.com/x")).alias("base"))
+    paths = spark.createDataFrame([(0, True, "Media Centre", "/media/"), (0, False, "Latest News", "/"), (1, False, "News Category", "/news")], "seq long, developer boolean, urlType string, path string")
+    exact = spark.createDataFrame([(0, "Exact", "News", "", "https://n0.example.com/news/", "Real Estate Section")], "seq long, company string, category string, region string, url string, urlType string")
+    return catalogue.candidates(seeds, paths, exact).select("url", "company", F.col("urlType").alias("kind"), "seq")
+
+
+@query(f"SELECT page_id, CASE {' '.join(f'WHEN regexp_matches(lower({SQL_PATH}), {chr(39)}{p}{chr(39)}) THEN {chr(39)}{k}{chr(39)}' for p, k in urls.PAGE_KINDS)} ELSE 'other' END AS kind FROM pages")
+def s18_page_kind(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.page_kind(F.col("url"), F.lit("other")).alias("kind"))
+
+
+@query("WITH v AS (SELECT s_name AS company, row_number() OVER (ORDER BY s_name) AS n FROM supplier) SELECT n AS id, company FROM v")
+def t13_catalogue_sort(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier").select(F.lit("News").alias("category"), F.col("s_name").alias("company"), F.concat(F.lit("https://e.com/"), F.col("s_suppkey")).alias("url"), *[F.lit("").alias(c) for c in ("urlType", "region", "sourceName", "rssAvailable", "xmlAvailable", "updateFrequency", "language", "official", "requiresJs", "pagination", "notes")], F.lit(200).alias("status"))
+    return catalogue.table(s).select(F.col("ID").cast("long").alias("id"), F.col("Company").alias("company"))
+
+
+@query()
+def x1_main_text(spark, sf_dir):
+    p = pages_.read_pages(table(spark, sf_dir, "pages"))
+    return p.select("page_id", F.col("page.text").alias("text"), F.col("page.image").alias("image"), pages_.published(F.col("page.dates")).alias("published"))
+
+
+
+@query()
+def x2_title(spark, sf_dir):
+    return pages_.read_pages(table(spark, sf_dir, "pages")).select("page_id", F.col("page.title").alias("title"))
+
+
+@query(f"SELECT page_id, CASE WHEN regexp_replace({SQL_HOST}, '^www[.]', '') <> '' THEN regexp_replace({SQL_HOST}, '^www[.]', '') END AS publisher, 'https://www.google.com/s2/favicons?domain=' || {SQL_HOST} || '&sz=128' AS logo FROM pages")
+def x8_x9_publisher(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", urls.publisher(F.col("url"), F.lit("")).alias("publisher"), urls.favicon(F.col("url")).alias("logo"))
+
+
+@query()
+def s3_listing_links(spark, sf_dir):
+    """Candidates of listing pages."""
+    p = table(spark, sf_dir, "pages").select(F.col("url").alias("source"), F.lit(1).alias("page_no"), "html")
+    return pages.listing_links(p, now=F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp")).select("source", "pos", "title", "newsLink", "postedBy")
+
+
+@query()
+def s4_direct_articles(spark, sf_dir):
+    d = pages_.direct_articles(table(spark, sf_dir, "pages"), "url", "html", F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp"))
+    return d.select("page_id", "title", "newsLink", "postedBy")
+
+
+@query("SELECT sha256(lower(url)) AS id FROM pages QUALIFY row_number() OVER (ORDER BY page_id DESC) <= 10000")
+def k2_sent_state(spark, sf_dir):
+    """Ids added to a state and read again: the newest ten thousand stay."""
+    state = State(spark, f"{shared_dir(spark)}/quillsieve/state-{uuid.uuid4().hex}")
+    state.add(table(spark, sf_dir, "pages").select(F.sha2(F.lower("url"), 256).alias("id"), F.col("page_id").alias("place")), datetime(2026, 7, 1, tzinfo=UTC))
+    return state.read().select("id")
+
+

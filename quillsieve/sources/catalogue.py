@@ -19,7 +19,7 @@ def candidates(seeds: DataFrame, paths: DataFrame, exact: DataFrame) -> DataFram
     exact: seq, company, category, region, url, urlType.
     """
     root = F.concat(F.lower(part(F.col("base"), 1)), F.lit("://"), host(F.col("base")), part(F.col("base"), 3))
-    made = seeds.withColumn("developer", F.col("category") == "Developer").alias("s").join(F.broadcast(paths).alias("p"), "developer")
+    made = seeds.withColumn("developer", F.col("category") == "Developer").alias("s").join(paths.alias("p"), "developer")
     # A path of at most a million entries a seed keeps seeds apart.
     one = made.select("company", "category", "region", normalized(F.concat(root, F.col("path"))).alias("url"), "urlType", (F.col("s.seq") * 1_000_000 + F.col("p.seq")).alias("seq"))
     two = exact.select("company", "category", "region", normalized(F.col("url")).alias("url"), "urlType", (F.lit(1 << 50) + F.col("seq")).alias("seq"))
