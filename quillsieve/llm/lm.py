@@ -9,7 +9,7 @@ Model. A gated recurrent network reads the document word by word; the WORDS most
 (with the end, and one name for all other words) are predicted by a softmax over classes and one
 within the class. Another word's probability is that of the common name times its smoothed share
 among such words. Each task trains on all of its training documents by truncated backpropagation
-in numpy, in windows through which the state is carried, from the same start; the tasks' weights
+in numpy, in windows through which the state is carried, from the same start (the counts); the tasks' weights
 are averaged by tokens. Documents run side by side in lanes; scoring carries the state through a
 whole document, whatever its length.
 
@@ -36,7 +36,7 @@ from quillsieve.llm.tables import Scratch
 FREQUENT = RARE = 65_535
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 20_000
 WORDS, CLASSES, HIDDEN = 256, 16, 12
-WINDOW, RATE, MOST_LANES, LARGEST = 32, 0.02, 512, 5
+WINDOW, RATE, MOST_LANES, LARGEST, UPDATES = 32, 0.02, 512, 5, 100
 END, OTHER = 0, 1  # names of the end and of words outside the list
 LN10 = float(np.log(10))
 
@@ -70,6 +70,7 @@ class Lists:
         order = np.argsort(-total, kind="stable")
         self.rank = np.empty(WORDS, np.int64)
         self.rank[order] = np.arange(WORDS)
+        self.total = np.maximum(total[order], 0.01)  # by rank
 
 
 class Network:
@@ -77,13 +78,19 @@ class Network:
 
     shapes = {"x": (WORDS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "c": (HIDDEN + 1, CLASSES), "w": (CLASSES, HIDDEN + 1, WORDS // CLASSES)}
 
-    def __init__(self, flat: np.ndarray | None = None):
+    def __init__(self, flat: np.ndarray | None = None, lists: Lists | None = None):
+        """Weights as given; or a start that predicts by counts alone."""
         rng = np.random.default_rng(11)
         self.p, at = {}, 0
         for k, shape in self.shapes.items():
             n = int(np.prod(shape))
             self.p[k] = (rng.normal(0, 0.1, shape) if flat is None else flat[at : at + n].reshape(shape)).astype(np.float32)
             at += n
+        if flat is None and lists is not None:
+            inside = np.log(lists.total.reshape(CLASSES, -1))
+            classes = np.log(lists.total.reshape(CLASSES, -1).sum(axis=1))
+            self.p["c"][HIDDEN] = np.clip(classes - classes.mean(), -LARGEST, LARGEST)
+            self.p["w"][:, HIDDEN] = np.clip(inside - inside.mean(axis=1, keepdims=True), -LARGEST, LARGEST)
         self.m = {k: np.zeros(s, np.float32) for k, s in self.shapes.items()}
         self.v = {k: np.zeros(s, np.float32) for k, s in self.shapes.items()}
         self.t = 0
@@ -150,7 +157,9 @@ class Network:
         out = np.zeros(total, np.float32)
         if not total:
             return out
-        count = int(np.clip(total // max(1, sizes.max()), 16, MOST_LANES))
+        fit = total // max(1, sizes.max())
+        # Learning needs windows one after the other: few documents take fewer lanes.
+        count = int(np.clip(min(fit, total // (WINDOW * UPDATES)), 4, MOST_LANES) if learn else np.clip(fit, 16, MOST_LANES))
         starts = np.cumsum(sizes) - sizes
         load = [(0, i) for i in range(min(count, len(sizes)))]
         parts: list[list[int]] = [[] for _ in load]
@@ -266,7 +275,7 @@ def _train_rows(shared):
     """Codes to the task's weights, as (place, weight times tokens, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, net, seen = shared.value, Network(), 0
+        lists, net, seen = shared.value, Network(lists=shared.value), 0
         for batch in batches:
             for part in steps(batch, 0):
                 t = Coded(part.column(0), lists)
@@ -338,7 +347,7 @@ def scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
 
     ready = spark.sparkContext.broadcast(lists)
     sums = marks.where("train").select("codes").mapInArrow(_train_rows(ready), "at long, value double, tokens double").groupBy("at").agg((F.sum("value") / F.sum("tokens")).alias("w")).collect()  # one row a weight
-    flat = Network().flat()
+    flat = Network(lists=lists).flat()
     for row in sums:
         flat[row["at"]] = row["w"]
     weights = spark.sparkContext.broadcast(flat)
