@@ -41,6 +41,7 @@ def add_columns(df: DataFrame, source, make: Callable[[pa.Array], list[pa.Array]
             for part in steps(batch, n):
                 made = make(part.column(n))
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *made], [f.name for f in out.fields])
+            pa.default_memory_pool().release_unused()
 
     made = plain.mapInArrow(run, out)
     return made.select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(keep)], *[F.col(f"n{i}").alias(f.name) for i, f in enumerate(fields)])

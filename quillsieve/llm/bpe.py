@@ -28,7 +28,7 @@ from quillsieve.llm.arrays import add_columns, binary, bounds, mix, quoted, ragg
 #: Code points with the Unicode property White_Space (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
 #: Remembered pre-tokens of a Python worker; when full, all are forgotten.
-MEMORY = 300_000
+MEMORY = 200_000
 
 
 class PerfectHash:

@@ -28,12 +28,12 @@ from pyspark.sql import types as T
 
 from quillsieve.llm.arrays import Words, add_columns, quoted
 
-SAMPLE_CHARS = 120_000
+SAMPLE_CHARS = 60_000
 #: Texts that one language's sample is cut from, at most.
 SAMPLE_TEXTS = 100
 MAX_LANGUAGES = 256
 #: Remembered words of a Python worker; when full, all are forgotten.
-MEMORY = 300_000
+MEMORY = 200_000
 UNKNOWN = "und"
 
 
