@@ -109,4 +109,4 @@ def greedy_unique(df: DataFrame, rank: str, ids: str) -> DataFrame:
         left = cut(left.join(gone, "r", "left_anti"), f"left-{n}")
     if kept is None:
         return df.limit(0)
-    return df.join(kept, F.col(rank) == kept.r, "left_semi")
+    return df.join(kept.select(F.col("r").alias("__kept")), F.col(rank) == F.col("__kept"), "left_semi")

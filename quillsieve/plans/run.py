@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime
+from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsieve.functions import articles, dates
@@ -15,18 +15,48 @@ from quillsieve.sources.options import Options
 from quillsieve.sources.scratch import Scratch
 
 
-@dataclass
 class Run:
-    """The tables of a run. judged: all rows inside the window; chosen: what goes out."""
+    """The tables of a run, each made when it is first asked for.
 
-    judged: DataFrame
-    chosen: DataFrame
-    payloads: DataFrame
-    reason_counts: DataFrame
-    missed: DataFrame
-    date_excluded: DataFrame
-    rejections: DataFrame
-    push_counts: DataFrame
+    judged: the rows inside the window; chosen: those that go out, at most max_items.
+    """
+
+    def __init__(self, rows: DataFrame, inside: Column, options: Options, now: datetime):
+        self.rows, self.inside, self.options, self.now = rows, inside, options, now
+        self.pack = rules.Pack.default(options.opt_in)
+        self.judged = rows.where(inside)
+        self.reported = self.judged.withColumn("reasons", F.when(F.col("skipped"), F.array(F.lit(audit.SKIPPED))).otherwise(F.col("reasons")))
+
+    @cached_property
+    def chosen(self) -> DataFrame:
+        able = self.judged.where(~F.col("skipped") & (F.size("reasons") == 0))
+        ranked = able.withColumn("rank", F.struct(*[x.alias(f"r{i}") for i, x in enumerate(_ranks())]))
+        top = select.greedy_unique(ranked, "rank", "ids").orderBy("rank").limit(self.options.max_items)
+        return Scratch(self.rows.sparkSession, "chosen").cut(top).orderBy("rank").drop("rank")
+
+    @cached_property
+    def payloads(self) -> DataFrame:
+        return articles.payload(self.chosen.orderBy(*select.push_order()), F.lit(self.now).cast("timestamp"))
+
+    @cached_property
+    def reason_counts(self) -> DataFrame:
+        return audit.reason_counts(self.reported)
+
+    @cached_property
+    def missed(self) -> DataFrame:
+        return audit.missed(self.judged, self.pack) if self.options.audit else audit.missed(self.judged.limit(0), self.pack)
+
+    @cached_property
+    def date_excluded(self) -> DataFrame:
+        return audit.date_excluded(self.rows, self.inside)
+
+    @cached_property
+    def rejections(self) -> DataFrame:
+        return audit.rejections(self.reported)
+
+    @cached_property
+    def push_counts(self) -> DataFrame:
+        return audit.push_counts(self.chosen)
 
 
 def judge(df: DataFrame, sent: DataFrame, options: Options) -> DataFrame:
@@ -47,28 +77,13 @@ def judge(df: DataFrame, sent: DataFrame, options: Options) -> DataFrame:
 
 
 def run(df: DataFrame, sent: DataFrame, options: Options, now: datetime) -> Run:
-    """All tables of a run; ``now`` is a parameter, so that runs can be repeated."""
-    pack = rules.Pack.default(options.opt_in)
+    """A run over articles; ``now`` is a parameter, so that runs can be repeated."""
     lo, hi = dates.window(options.start, options.end, now, options.lookback_days)
-    # Eight tables come from these rows: they are written once.
+    # All tables of a run come from these rows: they are written once.
     rows = Scratch(df.sparkSession, "run").cut(judge(df, sent.limit(0) if options.resend else sent, options))
     bound = lambda x: None if x is None else F.lit(x).cast("timestamp")
     inside = select.in_window(dates.article_date(F.col("publishedAt"), F.col("createdAt")), bound(lo), bound(hi))
-    judged = rows.where(inside)
-    able = judged.where(~F.col("skipped") & (F.size("reasons") == 0))
-    ranked = able.withColumn("rank", F.struct(*[x.alias(f"r{i}") for i, x in enumerate(_ranks())]))
-    chosen = select.greedy_unique(ranked, "rank", "ids").orderBy("rank").limit(options.max_items)
-    reported = judged.withColumn("reasons", F.when(F.col("skipped"), F.array(F.lit(audit.SKIPPED))).otherwise(F.col("reasons")))
-    return Run(
-        judged,
-        chosen.drop("rank"),
-        articles.payload(chosen.orderBy(*select.push_order()), F.lit(now).cast("timestamp")),
-        audit.reason_counts(reported),
-        audit.missed(judged, pack),
-        audit.date_excluded(rows, inside),
-        audit.rejections(reported),
-        audit.push_counts(chosen),
-    )
+    return Run(rows, inside, options, now)
 
 
 def _ranks():

@@ -9,8 +9,6 @@ from __future__ import annotations
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,11 +53,10 @@ def fetch(df: DataFrame, url: str = "url", timeout: float = 15.0, attempts: int
         return {"status": None, "body": None, "error": last}
 
     @F.pandas_udf(shape)
-    def run(batches: Iterator) -> Iterator:
+    def run(column):
         import pandas as pd
 
-        for urls in batches:
-            yield pd.DataFrame([one(u) for u in urls], columns=shape.names)
+        return pd.DataFrame([one(u) for u in column], columns=shape.names)
 
     return df.withColumn("answer", run(F.col(url)))
 
