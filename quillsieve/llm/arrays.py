@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,14 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of STEP_BYTES, if the session leaves their size at Spark's default; so a
+    batch of whole texts is no larger in the JVM than a step is here."""
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", ("67108864b", "64m", "64MB")
+    if spark.conf.get(key) in default:
+        spark.conf.set(key, str(STEP_BYTES))
+
+
 def quoted(name: str):
     """A column by its literal name."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -30,6 +38,7 @@ def add_columns(df: DataFrame, source, make: Callable[[pa.Array], list[pa.Array]
     ``make`` gets an array of at most STEP_BYTES (or one value) and returns an array for each
     of ``fields``. A column of df with the name of a new one is replaced.
     """
+    bound_batches(df.sparkSession)
     new = {f.name.lower() for f in fields}
     keep = [f for f in df.schema.fields if f.name.lower() not in new]
     plain = df.select(*[quoted(f.name).alias(f"c{i}") for i, f in enumerate(keep)], source.alias("source"))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.arrays import Words, mix, quoted, steps
+from quillsieve.llm.arrays import Words, bound_batches, mix, quoted, steps
 
 WINDOW, LEAST, LITERALS, ENOUGH = 8, 4, 4, 6
 BLOCK_ITEMS = 20_000
@@ -212,6 +212,7 @@ def found(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str =
     same: whether the numbers, names and units are those of the item.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     plain = df.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
 
     def scan(shared):

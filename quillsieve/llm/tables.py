@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillsieve.llm.arrays import bound_batches
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; set here only where it is unset (a local session)."""
@@ -25,6 +27,7 @@ class Scratch:
     """Written tables of one operator run; ``drop`` deletes one that is no longer read."""
 
     def __init__(self, spark: SparkSession, name: str):
+        bound_batches(spark)
         self.spark = spark
         self.base = f"{shared_dir(spark)}/quillsieve/{name}-{uuid.uuid4().hex}"
         self.made: dict[int, str] = {}
