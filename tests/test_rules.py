@@ -73,10 +73,8 @@ def test_case(judged, i):
 def test_opt_in_city(spark):
     change = {"title": "M3M announces the launch of residences, Noida, with Rs 2,100 crore investment", "description": "The update is about a Noida residential project.", "articleText": "Real estate update for Noida.", "newsLink": "https://example.com/m3m-noida"}
     df = spark.createDataFrame([{**BASE, **change, "seq": 0}])
-    for opt_in, codes in ((False, []), (True, ["noida"])):
-        pack = rules.Pack.default(opt_in)
-        row = route.assign(articles.clean(articles.ensure(df)), pack).select("rules.codes", rules.reasons(F.lit(False)).alias("reasons")).first()
-        assert row.codes == codes and (row.reasons == []) == opt_in
+    row = route.assign(articles.clean(articles.ensure(df)), rules.Pack.default(True)).select("rules.codes", rules.reasons(F.lit(False)).alias("reasons")).first()
+    assert row.codes == ["noida"] and row.reasons == []
 
 
 def test_run(spark):
