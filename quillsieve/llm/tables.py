@@ -2,50 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from quillsieve.llm.arrays import bound_batches
+from quillsieve.sources import scratch
+from quillsieve.sources.scratch import shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; set here only where it is unset (a local session)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        found = f"file://{tempfile.mkdtemp(prefix='quillsieve-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
+__all__ = ["Scratch", "shared_dir"]
 
 
-class Scratch:
-    """Written tables of one operator run; ``drop`` deletes one that is no longer read."""
+class Scratch(scratch.Scratch):
+    """Written tables of one operator run, which also bounds the session's Arrow batches."""
 
     def __init__(self, spark: SparkSession, name: str):
         bound_batches(spark)
-        self.spark = spark
-        self.base = f"{shared_dir(spark)}/quillsieve/{name}-{uuid.uuid4().hex}"
-        self.made: dict[int, str] = {}
-        self.count = 0
-
-    def cut(self, df: DataFrame, name: str = "t") -> DataFrame:
-        """df written once and read again: the lineage ends at the files."""
-        self.count += 1
-        path = f"{self.base}/{self.count}-{name}"
-        df.write.mode("overwrite").parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        self.made[id(back)] = path
-        back.scratch_path = path
-        return back
-
-    def drop(self, *tables: DataFrame) -> None:
-        for df in tables:
-            path = getattr(df, "scratch_path", None)
-            if path:
-                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        super().__init__(spark, name)
