@@ -90,6 +90,18 @@ def binary(off: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def remember(known: dict, words: list[bytes], limit: int, make: Callable[[list[bytes]], list]) -> None:
+    """Put ``make``'s results for new words into ``known``. When it is full, the words that came
+    again stay and the others go, so it holds at most ``limit`` and one slice's words."""
+    fresh = [w for w in words if w not in known]
+    if len(known) + len(fresh) > limit:
+        again = {w: known[w] for w in words if w in known}
+        known.clear()
+        known.update(again)
+    if fresh:
+        known.update(zip(fresh, make(fresh)))
+
+
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of some texts.
 

@@ -23,11 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsieve.llm.arrays import add_columns, binary, bounds, mix, quoted, ragged
+from quillsieve.llm.arrays import add_columns, binary, bounds, mix, quoted, ragged, remember
 
 #: Code points with the Unicode property White_Space (fixed values).
 WHITE_SPACE = r"\t-\r\x20\x85\xa0  -     　"
-#: Remembered pre-tokens of a Python worker; when full, all are forgotten.
+#: Remembered pre-tokens of a Python worker.
 MEMORY = 200_000
 
 
@@ -137,17 +137,13 @@ class Vocabulary:
 
     def resolve(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of distinct pre-tokens; those of earlier slices are remembered."""
-        known = self.known
-        fresh = [w for w in words if w not in known]
-        if len(known) + len(fresh) > MEMORY:
-            known.clear()
-            fresh = words
-        if fresh:
-            pack = [struct.Struct(f"<{n}I").pack for n in range(self.longest + 1)]
-            for word, slot in zip(fresh, self.hash.find(fresh).tolist()):
-                ids = [int(self.ids[slot])] if self.tokens[slot] == word else self.merge(word)
-                known[word] = pack[len(ids)](*ids) if len(ids) < len(pack) else struct.pack(f"<{len(ids)}I", *ids)
-        return [known[w] for w in words]
+        remember(self.known, words, MEMORY, self.pack)
+        return [self.known[w] for w in words]
+
+    def pack(self, words: list[bytes]) -> list[bytes]:
+        found = self.hash.find(words).tolist()
+        ids = [[int(self.ids[slot])] if self.tokens[slot] == word else self.merge(word) for word, slot in zip(words, found)]
+        return [struct.pack(f"<{len(x)}I", *x) for x in ids]
 
 
 def _encoder(shared):

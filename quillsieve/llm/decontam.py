@@ -31,12 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.arrays import Words, bound_batches, mix, quoted, steps
+from quillsieve.llm.arrays import Words, bound_batches, mix, quoted, remember, steps
 
 WINDOW, LEAST, LITERALS, ENOUGH = 8, 4, 4, 6
 BLOCK_ITEMS = 20_000
-#: Remembered words of a Python worker; when full, all are forgotten.
-MEMORY = 300_000
+#: Remembered words of a Python worker.
+MEMORY = 200_000
 
 UNITS = set(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds ton tons "
@@ -74,12 +74,7 @@ _KNOWN: dict[bytes, bytes] = {}
 
 def _described(words: list[bytes]) -> np.ndarray:
     """A record for each word; those of earlier slices are remembered."""
-    fresh = [w for w in words if w not in _KNOWN]
-    if len(_KNOWN) + len(fresh) > MEMORY:
-        _KNOWN.clear()
-        fresh = words
-    for w in fresh:
-        _KNOWN[w] = _PACK(*describe(w)[:5])
+    remember(_KNOWN, words, MEMORY, lambda fresh: [_PACK(*describe(w)[:5]) for w in fresh])
     return np.frombuffer(b"".join([_KNOWN[w] for w in words]), _RECORD)
 
 

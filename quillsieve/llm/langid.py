@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsieve.llm.arrays import Words, add_columns, quoted
+from quillsieve.llm.arrays import Words, add_columns, quoted, remember
 
 SAMPLE_CHARS = 60_000
 #: Texts that one language's sample is cut from, at most.
 SAMPLE_TEXTS = 100
 MAX_LANGUAGES = 256
-#: Remembered words of a Python worker; when full, all are forgotten.
+#: Remembered words of a Python worker.
 MEMORY = 200_000
 UNKNOWN = "und"
 
@@ -119,14 +119,9 @@ class Model:
         return (len(letters), *[a.phrases(marked) * a.bits for a in self.automata])
 
     def table(self, words: list[bytes]) -> np.ndarray:
-        known, fresh = self.known, [w for w in words if w not in self.known]
-        if len(known) + len(fresh) > MEMORY:
-            known.clear()
-            fresh = words
         pack = struct.Struct(f"<{1 + len(self.automata)}d").pack
-        for w in fresh:
-            known[w] = pack(*self.costs(w))
-        return np.frombuffer(b"".join([known[w] for w in words]), "<f8").reshape(len(words), 1 + len(self.automata))
+        remember(self.known, words, MEMORY, lambda fresh: [pack(*self.costs(w)) for w in fresh])
+        return np.frombuffer(b"".join([self.known[w] for w in words]), "<f8").reshape(len(words), 1 + len(self.automata))
 
     def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. Score: how far the second language is behind."""
