@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 #: Bytes of text that one numpy step handles; a longer text is one step by itself.
 STEP_BYTES = 4 << 20
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -50,7 +52,6 @@ def add_columns(df: DataFrame, source, make: Callable[[pa.Array], list[pa.Array]
             for part in steps(batch, n):
                 made = make(part.column(n))
                 yield pa.RecordBatch.from_arrays([*part.columns[:n], *made], [f.name for f in out.fields])
-            pa.default_memory_pool().release_unused()
 
     made = plain.mapInArrow(run, out)
     return made.select(*[F.col(f"c{i}").alias(f.name) for i, f in enumerate(keep)], *[F.col(f"n{i}").alias(f.name) for i, f in enumerate(fields)])
@@ -68,6 +69,14 @@ def steps(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         if hi > lo:
             yield batch.slice(lo, hi - lo)
         lo = hi
+    release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def bounds(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

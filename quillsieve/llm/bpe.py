@@ -196,7 +196,19 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
     return add_columns(df, quoted(ids), _decoder(shared), [T.StructField(out, T.BinaryType())])
 
 
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, by one Python worker a task and not by two."""
+    shared = df.sparkSession.sparkContext.broadcast(vocabulary)
+    encoder, decoder = _encoder(shared), _decoder(shared)
+
+    def make(arr: pa.Array) -> list[pa.Array]:
+        (packed,) = encoder(arr)
+        return [packed, *decoder(packed)]
+
+    return add_columns(df, quoted(text).cast("string"), make, [T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.BinaryType())])
+
+
 def digests(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of ``documents``."""
-    back = decode(encode(df.select("doc_id", "text"), vocabulary).drop("text"), vocabulary)
+    back = round_trip(df.select("doc_id", "text"), vocabulary)
     return back.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
