@@ -7,7 +7,7 @@ from collections import defaultdict
 import numpy as np
 
 import corpus_pipeline
-from quillsieve.llm import chat, lattice
+from quillsieve.llm import chat, jaccard, lattice
 from quillsieve.llm.components import connected
 from quillsieve.llm.queries import op6_chat
 from quillsieve.llm.tables import Scratch
@@ -103,3 +103,39 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert set(got) == {i for i, *_ in rows} - {1, 4, 5, 6} and all(r.exact for r in got.values())
     assert got[3].n_chars == len(rows[3][1]) - len(passage) - 1 and got[2].n_chars == len(rows[2][1])
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "passages", "benchmark_free", "tokens"]
+
+
+def test_jaccard_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 8)  # so that cells are compared block by block
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(150)] for _ in range(5)]
+    rows = [(0, None), (1, ""), (2, "One two"), (3, "one  TWO"), (4, "a " * 900)]
+    for i in range(5, 150):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    sets = {}
+    for i, t in rows:
+        w = (t or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {i: i for i in sets}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for i in sets:
+        for j in sets:
+            if i < j and (sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r.doc_id: r.component_id for r in jaccard.components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i: find(i) for i in sets} and 8 < len(set(got.values())) < 100
+    assert jaccard.dedupe(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_pipeline_drops_near_copies(spark):
+    """A copy with words changed at 0.8 or above goes, one below it stays."""
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    changed = lambda at: " ".join("other" + w if k in at else w for k, w in enumerate(words))
+    rows = [(0, " ".join(words)), (1, changed({30, 80})), (2, changed({20, 50, 80, 110})), *[(i, " ".join(f"v{rng.randrange(10**6)}" for _ in range(60))) for i in range(3, 9)]]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.near_copies(spark, df, "").collect()} == {0, 2, *range(3, 9)}
