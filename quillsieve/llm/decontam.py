@@ -12,10 +12,11 @@ where consistent windows, ENOUGH or half of all its windows, agree on an alignme
 The benchmark is a stated query set: it is read in blocks of BLOCK_ITEMS items, each broadcast
 (that is the bound) and held against all rows of the documents, which are not shuffled.
 
-Defined results: a null text has no words; an item of fewer than WINDOW but at least LEAST words
-is one window; shorter or null items are never found; a window of placeholders with fewer than
-LITERALS words besides them proves nothing; repeated rows are found each; extra columns are kept
-by ``clean`` and ignored by ``found``.
+Defined results: a null text has no words; an item of fewer than WINDOW words is one window, and
+one of fewer than LEAST is found only where all its words stand as they are; items without a word
+are never found; a template window with fewer than LITERALS words besides its placeholders proves
+nothing (a window of plain words always counts); repeated rows are found each; extra columns are
+kept by ``clean`` and ignored by ``found``.
 """
 
 from __future__ import annotations
@@ -133,14 +134,14 @@ class Index:
             self.words.append([(int(t.kind[j]), t.core(j)) for j in range(lo, hi)])
             width = min(WINDOW, hi - lo)
             self.width.append(width)
-            self.total.append(hi - lo - width + 1 if width >= LEAST else 0)
-            for kind in ((width, 0), (width, 1)) if width >= LEAST else ():
+            self.total.append(hi - lo - width + 1)
+            for kind in ((width, 0), (width, 1)) if width >= LEAST else ((width, 1),) if width else ():
                 if kind not in at:
                     at[kind] = t.windows(*kind)
                 places, hashes = at[kind]
                 a, b = np.searchsorted(places, (lo, hi - width + 1))
                 for p, h in zip(places[a:b].tolist(), hashes[a:b].tolist()):
-                    if sum(k == LITERAL for k, _ in self.words[i][p - lo : p - lo + width]) >= min(LITERALS, width):
+                    if kind[1] or sum(k == LITERAL for k, _ in self.words[i][p - lo : p - lo + width]) >= min(LITERALS, width):
                         by_width[kind][h].append((i, p - lo))
         self.places = {w: dict(d) for w, d in by_width.items()}
         self.hashes = {w: np.sort(np.fromiter(d, np.uint64, len(d))) for w, d in by_width.items()}

@@ -251,6 +251,13 @@ def test_decontam_in_blocks(spark, monkeypatch):
     assert got == {(i, i) for i in range(7)}
 
 
+def test_decontam_finds_every_exact_copy(spark):
+    items = [(1, "What is 12 + 7 * 3 - 5?"), (2, "Anna Berta Carla Dora Emil Fritz Gustav Hans Ida Jan"), (3, "1 2 3 4 5 6 7 8 9"), (4, "tiny item"), (5, "Der Hund und die Katze des Nachbarn im Garten"), (6, "?!"), (7, "")]
+    rows = [(10 + i, f"so it goes, {t} and no more") for i, t in items] + [(20, "What is 13 + 8 * 4 - 6?"), (21, "a tiny, item"), (22, "tiny other item")]
+    got = {(r.doc_id, r.item_id) for r in decontam.found(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(10 + i, i) for i in range(1, 6)} | {(21, 4)}
+
+
 # Rollups
 
 
