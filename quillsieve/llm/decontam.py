@@ -2,9 +2,9 @@
 
 Words lose the punctuation around them and their case; numbers, units and names become typed
 placeholders, so a question whose numbers or names were exchanged has the template of the
-original. A name is a capitalised word inside a sentence, and every capitalised occurrence of it
-in the same text; as that depends on the sentences around, windows without placeholders are
-matched too. Windows of WINDOW template words are hash-joined with the benchmark's windows;
+original. Each occurrence decides for itself: a capitalised word is a name, and one that begins a
+sentence is read both as a name and as a plain word, so the text around a passage changes nothing.
+Windows without placeholders are matched too. Windows of WINDOW template words are hash-joined with the benchmark's windows;
 matches are verified word by word, and along each alignment of a text with an item the slots must
 be consistent: one value of the item stands for one value of the text. An item counts as found
 where consistent windows, ENOUGH or half of all its windows, agree on an alignment.
@@ -80,7 +80,10 @@ def _described(words: list[bytes]) -> np.ndarray:
 
 
 class Templates:
-    """Template words of some texts: off (first of each text), name, kind and core."""
+    """Template words of some texts: off (first of each text), name, kind and core.
+
+    Readings: 0 takes every capitalised word for a name, 2 those inside a sentence; 1 is plain words.
+    """
 
     def __init__(self, arr: pa.Array):
         w = Words(arr)
@@ -91,22 +94,22 @@ class Templates:
         first = np.ones(len(codes), bool)
         first[1:] = ends[:-1] | (doc[1:] != doc[:-1])
         able = capital & (kinds == LITERAL)
-        own = mix(hashes + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        at = np.flatnonzero(able)
-        kinds[at[np.isin(own[at], own[at[~first[at]]])]] = NAME
+        inside = np.where(able & ~first, NAME, kinds)
+        kinds = np.where(able, NAME, kinds)
         keep = np.flatnonzero(some)
         self.off = np.searchsorted(keep, w.off)
         self.kind = kinds[keep]
+        self.kinds = {0: self.kind, 2: inside[keep]}
         plain = hashes[keep]
-        self.names = np.where(self.kind == LITERAL, plain, _SLOT[self.kind]), plain
+        self.names = {1: plain} | {k: np.where(v == LITERAL, plain, _SLOT[v]) for k, v in self.kinds.items()}
         self.codes, self.distinct = codes[keep], distinct
 
     def core(self, i: int) -> bytes:
         return describe(self.distinct[self.codes[i]])[5]
 
-    def windows(self, width: int, plain: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of the windows that lie within one text; plain: without placeholders."""
-        name = self.names[plain]
+    def windows(self, width: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of the windows that lie within one text."""
+        name = self.names[reading]
         n = len(name) - width + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -135,13 +138,13 @@ class Index:
             width = min(WINDOW, hi - lo)
             self.width.append(width)
             self.total.append(hi - lo - width + 1)
-            for kind in ((width, 0), (width, 1)) if width >= LEAST else ((width, 1),) if width else ():
+            for kind in ((width, 0), (width, 1), (width, 2)) if width >= LEAST else ((width, 1),) if width else ():
                 if kind not in at:
                     at[kind] = t.windows(*kind)
                 places, hashes = at[kind]
                 a, b = np.searchsorted(places, (lo, hi - width + 1))
                 for p, h in zip(places[a:b].tolist(), hashes[a:b].tolist()):
-                    if kind[1] or sum(k == LITERAL for k, _ in self.words[i][p - lo : p - lo + width]) >= min(LITERALS, width):
+                    if kind[1] == 1 or (t.kinds[kind[1]][p : p + width] == LITERAL).sum() >= min(LITERALS, width):
                         by_width[kind][h].append((i, p - lo))
         self.places = {w: dict(d) for w, d in by_width.items()}
         self.hashes = {w: np.sort(np.fromiter(d, np.uint64, len(d))) for w, d in by_width.items()}

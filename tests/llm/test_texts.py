@@ -258,6 +258,16 @@ def test_decontam_finds_every_exact_copy(spark):
     assert got == {(10 + i, i) for i in range(1, 6)} | {(21, 4)}
 
 
+def test_decontam_ignores_the_text_around(spark):
+    """Words capitalised elsewhere in a document change no match of a question with other numbers."""
+    item = "A farmer sells 12 eggs on each of 5 mornings. How many of 40 eggs does he sell there?"
+    other = item.replace("12", "17").replace(" 5 ", " 6 ").replace("40", "90")
+    rows = [(0, other), (1, f"He asked, How Many Eggs and A Farmer. Then came this. {other}"), (2, f"Q {other}"), (3, other.replace(". How", ", how"))]
+    rows += [(4, "A baker burns 12 loaves on all of 5 evenings. How few of 40 pans will he need here?")]
+    got = {r.doc_id: r.same for r in decontam.found(docs(spark, rows), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got == {0: False, 1: False, 2: False, 3: False}
+
+
 # Rollups
 
 
