@@ -24,7 +24,7 @@ from quillsieve.llm.arrays import quoted
 #: phrase and label, as given.
 BASE = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 #: Each match of each rule contains one of these.
-ROOTS = ["licen", "copyright", "copyleft", "spdx", "gpl", "redistribut", "commons", "warrant", "rights", "domain"]
+ROOTS = ["licen", "copyright", "copyleft", "spdx", "gpl", "redistribut", "commons", "warrant", "rights", "domain", "permission", "proprietary", "apache"]
 #: Not in words: ASCII other than digits and letters.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -88,9 +88,9 @@ ncsa | illinois | (?:university of illinois|illinois)(?: ncsa)?(?: open source)?
 wtfpl | do what the | do what the \\S+ you want to public licen[sc]e
 unlicense | unlicense | (?:the )?unlicense
 cc0-1.0 | cc0 | (?:creative commons )?cc0(?: 1 0)?(?: universal)?
-cc-by-2.0 | by | (?:cc|creative commons) (?:by|attribution) 2 0
-cc-by-3.0 | by | (?:cc|creative commons) (?:by|attribution) 3 0
-cc-by-4.0 | by | (?:cc|creative commons) (?:by|attribution) 4 0
+cc-by-2.0 | 2 0 | (?:cc|creative commons) (?:by|attribution) 2 0
+cc-by-3.0 | 3 0 | (?:cc|creative commons) (?:by|attribution) 3 0
+cc-by-4.0 | 4 0 | (?:cc|creative commons) (?:by|attribution) 4 0
 cc-by-sa-3.0 | sa | cc by sa 3 0
 cc-by-sa-4.0 | sa | cc by sa 4 0
 cc-by-nd-4.0 | nd | cc by nd 4 0
@@ -144,9 +144,9 @@ def rules() -> list[tuple[str, str, str, float]]:
     """(label, keyword, pattern, confidence), in order of priority."""
     found = []
     names = [[x.strip() for x in line.split("|", 2)] for line in NAMES.strip().splitlines()]
-    under = "under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?"
+    under = "under (?:the |an? )?(?:terms (?:and conditions )?of (?:the )?)?"
     for label, keyword, name in names:
-        named = name if "licen" in name else f"(?:{name})(?: public)? licen[sc]es?"
+        named = name if "licen" in name else f"(?:{name})(?: international)?(?: public)? licen[sc]es?"
         found.append((label, keyword, f"licen[sc]ed {under}(?:{name})(?: (?:public |international )?licen[sc]es?)?", 1.0))
         found.append((label, keyword, f"(?:released|distributed|provided|available|published|covered|offered) {under}{named}", 0.9))
         found.append((label, "spdx", f"spdx licen[sc]e identifier {label.replace('-', ' ').replace('.', ' ')}", 0.95))

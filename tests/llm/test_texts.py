@@ -180,6 +180,49 @@ def test_license_places_and_suppression(spark):
     assert len(license_scan.rules()) > 200
 
 
+def least_matches(pattern):
+    """Matches of a rule's pattern: every alternative, and no optional part."""
+    from re import _constants as c, _parser
+
+    def texts(parsed):
+        out = [""]
+        for op, arg in parsed:
+            if op is c.LITERAL:
+                new = [chr(arg)]
+            elif op is c.IN:
+                new = {c.LITERAL: lambda x: [chr(x)], c.RANGE: lambda x: [chr(x[0])], c.CATEGORY: lambda x: ["7"]}[arg[0][0]](arg[0][1])
+                new += [chr(x) for kind, x in arg[1:] if kind is c.LITERAL]
+            elif op is c.CATEGORY:
+                new = ["7"]
+            elif op is c.MAX_REPEAT:
+                new = [x * arg[0] for x in texts(arg[2])] if arg[0] else [""]
+            elif op is c.SUBPATTERN:
+                new = texts(arg[3])
+            elif op is c.BRANCH:
+                new = [x for branch in arg[1] for x in texts(branch)]
+            else:
+                raise ValueError(op)
+            out = [a + b for a in out for b in new]
+        return out
+
+    return [" ".join(x.split()) for x in texts(_parser.parse(pattern))]
+
+
+def test_license_rules_contain_root_and_keyword():
+    for label, keyword, pattern, _ in license_scan.rules():
+        for text in least_matches(pattern):
+            assert keyword in text and any(root in text for root in license_scan.ROOTS), (label, keyword, text)
+
+
+def test_license_each_rule_alone(spark):
+    """A least match of a rule, alone in a text, is found with at least the rule's confidence."""
+    least = {i: least_matches(pattern)[0] for i, (_, _, pattern, _) in enumerate(license_scan.rules())}
+    rows = [*least.items(), (9000, "available under a Creative Commons Attribution 4.0 International license"), (9001, "Permission is hereby granted, free of charge, to any person obtaining a copy"), (9002, "Proprietary and confidential."), (9003, "available under Apache 2.0")]
+    got = {r.doc_id: r for r in license_scan.digests(docs(spark, rows)).collect()}
+    assert not [(i, text) for i, text in least.items() if not got[i].labels or not got[i].score]
+    assert [got[i].labels for i in range(9000, 9004)] == ["cc-by-4.0", "mit", "proprietary", "apache-2.0"]
+
+
 # Language model
 
 
