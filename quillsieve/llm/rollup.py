@@ -5,7 +5,8 @@ one small aggregated table per committed batch. An insert adds a document's coun
 subtracts them, a revision subtracts the old and adds the new ones. Committing a batch replaces
 whatever the batch's folder held, and a batch counts only once its write has ended (Spark's
 _SUCCESS mark), so a batch that failed or is sent again changes nothing twice. ``compact`` folds
-batches into a base; batches up to the base's are then ignored.
+batches into a base, which lists the ids of its batches; those are then ignored, and a batch that
+comes late is not.
 
 Deltas are aggregated before the shuffle, so a source that holds most rows costs one row a task.
 
@@ -50,7 +51,10 @@ def _sums(rows: DataFrame) -> DataFrame:
 
 
 class Store:
-    """Totals under a path: ``batch=<id>`` and ``base=<id>`` folders."""
+    """Totals under a path: ``batch=<id>`` and ``base=<number>`` folders; the last base counts.
+
+    A base has, beside its totals, a row for each batch it contains: the id and nothing else.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -69,14 +73,20 @@ class Store:
 
     def commit(self, batch: int, rows: DataFrame) -> bool:
         """Put the deltas of a batch in place of what it had; False if the base holds it already."""
-        if (base := self._committed("base")) and batch <= base[-1]:
+        if batch in self._contained():
             return False
         _sums(rows).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
         return True
 
-    def _parts(self) -> tuple[list[str], list[int]]:
+    def _contained(self) -> set[int]:
+        """Ids of the batches that the base contains."""
         base = self._committed("base")[-1:]
-        batches = [b for b in self._committed("batch") if not base or b > base[0]]
+        rows = [self.spark.read.schema(f"{SCHEMA}, batch long").parquet(f"{self.path}/base={b}") for b in base]
+        return {r["batch"] for df in rows for r in df.where("batch is not null").select("batch").collect()}
+
+    def _parts(self) -> tuple[list[str], list[int]]:
+        base, contained = self._committed("base")[-1:], self._contained()
+        batches = [b for b in self._committed("batch") if b not in contained]
         return [f"{self.path}/base={b}" for b in base] + [f"{self.path}/batch={b}" for b in batches], batches
 
     def totals(self) -> DataFrame:
@@ -84,13 +94,16 @@ class Store:
         paths, _ = self._parts()
         if not paths:
             return self.spark.createDataFrame([], SCHEMA)
-        return _sums(self.spark.read.schema(SCHEMA).parquet(*paths)).where("n_docs <> 0 or n_tokens <> 0")
+        return _sums(self.spark.read.schema(SCHEMA).parquet(*paths).where("tokenizer is not null")).where("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> None:
         """One base for all committed batches; their folders go once it is written."""
         paths, batches = self._parts()
         if batches:
-            _sums(self.spark.read.schema(SCHEMA).parquet(*paths)).write.mode("overwrite").parquet(f"{self.path}/base={batches[-1]}")
+            ids = self.spark.createDataFrame([(b,) for b in sorted(self._contained() | set(batches))], "batch long")
+            rows = _sums(self.spark.read.schema(SCHEMA).parquet(*paths).where("tokenizer is not null")).unionByName(ids, allowMissingColumns=True)
+            number = max([batches[-1], *[b + 1 for b in self._committed("base")]])
+            rows.write.mode("overwrite").parquet(f"{self.path}/base={number}")
             for path in paths:
                 fs, where = self._fs(path)
                 fs.delete(where, True)

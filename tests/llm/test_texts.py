@@ -330,6 +330,19 @@ def test_rollup_batches_are_idempotent(spark, tmp_path):
     assert not store.commit(2, rows(d)) and total() == [x for x in whole if x[:2] != ("s", "en")]
 
 
+def test_rollup_takes_a_late_batch(spark, tmp_path):
+    store = rollup.Store(spark, str(tmp_path / "store"))
+    rows = lambda n: spark.createDataFrame([("s", None, "words-1", 1, n)], rollup.SCHEMA)
+    total = lambda: [(r.n_docs, r.n_tokens) for r in store.totals().collect()]
+    assert store.commit(1, rows(1)) and store.commit(3, rows(100))
+    store.compact()
+    assert store.commit(2, rows(10)) and total() == [(3, 111)]
+    assert store.commit(2, rows(10)) and not store.commit(3, rows(100)) and total() == [(3, 111)]
+    store.compact()
+    assert not any(store.commit(b, rows(1000)) for b in (1, 2, 3)) and total() == [(3, 111)]
+    assert store.commit(4, rows(1000)) and total() == [(4, 1111)]
+
+
 # Language
 
 
