@@ -149,16 +149,16 @@ class Model:
 def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model from the labelled rows of df: those with a language and a text."""
     rows = df.select(quoted(lang).cast("string").alias("lang"), quoted(text).cast("string").alias("text")).where("lang is not null and text is not null")
+    if rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count() > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     # A text gives at most what one language needs; ties of the hash are ties of the text.
     short = rows.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), F.xxhash64("text").alias("h"))
     top = short.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("n") <= SAMPLE_TEXTS)
     upto = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    found = top.withColumn("before", F.coalesce(upto, F.lit(0))).where(F.col("before") < SAMPLE_CHARS).select("lang", "text").limit(MAX_LANGUAGES * SAMPLE_TEXTS).toLocalIterator()
+    found = top.withColumn("before", F.coalesce(upto, F.lit(0))).where(F.col("before") < SAMPLE_CHARS).select("lang", "text").toLocalIterator()  # bound: MAX_LANGUAGES samples
     samples: dict[str, list[str]] = {}
     for row in found:
         words = samples.setdefault(row["lang"], [])
-        if len(samples) > MAX_LANGUAGES:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
         for word in row["text"].split():
             letters = "".join(c for c in word.lower() if c.isalpha())
             if letters:

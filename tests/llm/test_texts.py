@@ -361,6 +361,15 @@ def test_langid_held_out(spark):
     assert {r.lang_pred for r in none.collect()} == {"und"}
 
 
+def test_langid_refuses_too_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    monkeypatch.setattr(langid, "SAMPLE_TEXTS", 2)
+    make = lambda n: spark.createDataFrame([(f"word{i} text", f"l{k}") for k in range(n) for i in range(2)], "text string, lang string")
+    assert langid.fit(make(3)).languages == ["l0", "l1", "l2"]
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        langid.fit(make(4))
+
+
 def test_automaton_phrases():
     """Greedy longest matches, compared with a search in all substrings."""
     rng = random.Random(3)
