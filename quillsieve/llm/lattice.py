@@ -10,8 +10,8 @@ bounded size, as pairs of blocks in separate groups. A cell returns, for each of
 number of links that no earlier table has found (whether two vectors meet in another table can be
 computed from the vectors alone) and a star, and so no pairs are written.
 
-``plan`` picks scale and number of tables by the number of vectors, so that cells stay small;
-recall at a cosine of exactly 0.9 is over 0.95 in each case, and higher above it.
+Scale and number of tables are the same for every number of vectors, so whether two vectors link
+depends on them alone; recall at a cosine of exactly 0.9 is over 0.95, and higher above it.
 
 Defined results: a vector that is null, empty, zero or has null or non-finite components links
 with nothing and is kept; vectors of different sizes don't link; repeated rows of one id count
@@ -36,12 +36,8 @@ SEED = 20_25
 PROBES = 8
 #: Vectors of one block of a cell.
 BLOCK = 1024
-#: Most vectors, scale of the projection, tables.
-PLANS = [(200_000, 0.8, 4), (5_000_000, 1.0, 10), (float("inf"), 1.2, 18)]
-
-
-def plan(n: int) -> tuple[float, int]:
-    return next((scale, tables) for most, scale, tables in PLANS if n <= most)
+#: Scale of the projection, tables.
+SCALE, TABLES = 1.0, 10
 
 
 def _roots() -> np.ndarray:
@@ -213,14 +209,13 @@ def link(df: DataFrame, threshold: float = 0.9, vec_id: str = "vec_id", embeddin
     # Zero has two signs; a sum with zero leaves one.
     rows = raw.withColumn("good", good).withColumn("embedding", F.when(F.col("good"), F.transform("embedding", lambda x: x + F.lit(0).cast(dict(raw.dtypes)["embedding"][6:-1]))))
     reps = scratch.cut(rows.where("good").groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("many")), "vectors")
-    scale, tables = plan(reps.count())
-    named = scratch.cut(reps.select("rep", "embedding").mapInArrow(_cell_rows(scale, tables), "rep long, table int, cell long, home boolean"), "cells")
+    named = scratch.cut(reps.select("rep", "embedding").mapInArrow(_cell_rows(SCALE, TABLES), "rep long, table int, cell long, home boolean"), "cells")
     full = named.groupBy("table", "cell").agg(F.count("*").alias("n"), F.count_if("home").alias("homes")).where("n > 1 and homes > 0").select("table", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     met = named.join(full, ["table", "cell"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("table", "cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).cast("int").alias("side"), "home", "rep")
     keys = ["table", "cell", "x", "y"]
     dealt = met.join(reps, "rep").select(*keys, "side", "home", "rep", "many", "embedding").repartition(*keys).sortWithinPartitions(*keys)
-    found = scratch.cut(dealt.mapInArrow(_groups(threshold, scale), "rep long, links long, low long"), "found")
+    found = scratch.cut(dealt.mapInArrow(_groups(threshold, SCALE), "rep long, links long, low long"), "found")
     roots = connected(found.select(F.col("rep").alias("a"), F.col("low").alias("b")), scratch)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = reps.join(counts, "rep", "left").join(roots, F.col("rep") == F.col("node"), "left")

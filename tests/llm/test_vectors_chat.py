@@ -51,6 +51,19 @@ def test_lattice_links(spark, monkeypatch):
     assert lattice.link(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_lattice_recall_at_threshold():
+    """Pairs at a cosine of exactly 0.9 meet in some table, by the one plan of every size."""
+    assert not hasattr(lattice, "plan")
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    u, v = (lattice.cells(x, lattice.SCALE, lattice.TABLES) for x in (a, b))
+    met = (u == v[:, :, :1]).any(axis=(1, 2)) | (v == u[:, :, :1]).any(axis=(1, 2))
+    assert met.mean() > 0.95
+
+
 def brute_chat(rows):
     turns = defaultdict(list)
     for conv, turn, role, text in rows:
