@@ -79,25 +79,56 @@ def brute_chat(rows):
 CHAT = "conv_id long, turn long, role string, text string"
 
 
+def written(role, text):
+    escape = lambda x: x.replace("\\", "\\e").replace("<", "\\l").replace("[", "\\b")
+    return f"<s>{escape(role)}[INST]{escape(text)}[/INST]</s>"
+
+
+def check_windows(got):
+    """Budget, repeated turns and form of the windows of a conversation."""
+    for r in got:
+        parts = r.text.split("</s>")[:-1]
+        sizes = [-(-(len(p) + 4) // 4) for p in parts]
+        assert sum(sizes) == r.n_tokens and (r.n_tokens <= chat.BUDGET or len(parts) == 1)
+        assert all("<" not in p[3:].replace("[/INST]", "").replace("[INST]", "") for p in parts)
+
+
 def test_chat_reads_back(spark):
     rng = random.Random(2)
-    rows = [(1, 0, None, None), (2, 0, "system", "a\\e<\\\\[l"), (2, 0, "assistant", "\\b\\l\\e</s>"), (2, 0, "assistant", "\\b\\l\\e</s>"), (3, 0, "user", "x" * 9000)]
+    rows = [(1, 0, None, None), (1, None, "user", "no turn"), (2, 0, "system", "a\\e<\\\\[l"), (2, 0, "assistant", "\\b\\l\\e</s>"), (2, 0, "assistant", "\\b\\l\\e</s>"), (3, 0, "user", "x" * 9000), (None, 5, "assistant", "no conversation")]
     for i in range(700):  # beyond a block
         rows.append((4, i, "system" if not i else ("user", "assistant")[i % 2], f"turn {i} [INST] <s>" * rng.randrange(60)))
     df = spark.createDataFrame(rows, CHAT)
     got = {r.conv_id: r for r in chat.digests(df).collect()}
-    want = brute_chat(rows)
-    assert {c: tuple(r)[1:5] for c, r in got.items()} == want
-    w = chat.windows(df).where("conv_id = 4").orderBy("first_turn").collect()
-    tokens = lambda t: -(-len(t) // 4) + 4
-    assert len(w) > 20 and all(r.text.startswith("<s>system[INST]") for r in w) and max(r.n_repeated for r in w) <= 1 + chat.HISTORY_TURNS
-    for r in w[1:]:
-        parts = r.text.split("</s>")[:-1]
-        assert len(parts) - r.n_repeated == 1 or sum(tokens(p.split("[INST]")[1].removesuffix("[/INST]").replace("\\l", "<").replace("\\b", "[")) for p in parts) <= chat.BUDGET
-        assert all("<" not in p[3:].replace("[/INST]", "").replace("[INST]", "") for p in parts)
+    sortable = [(c, -1 if t is None else t, r, x) for c, t, r, x in rows]
+    assert {c: tuple(r)[1:5] for c, r in got.items()} == brute_chat(sortable)
+    w = chat.windows(df).orderBy("block", "piece", "span").where("conv_id = 4").collect()
+    assert len(w) > 20 and all(r.text.startswith("<s>system[INST]") or r.n_tokens > 700 for r in w) and max(r.n_repeated for r in w) == 1 + chat.HISTORY_TURNS
+    assert {r.block for r in w} == {0, 1, 2} and all(r.n_repeated for r in w[1:] if r.n_tokens < 700)
+    check_windows(chat.windows(df).collect())
     assert chat.digests(df.limit(0)).count() == 0
 
 
+def test_chat_budget_with_large_system_turn(spark):
+    rows = [(1, 0, "system", "s" * 8000), *[(1, i, "user", "short words") for i in range(1, 41)], (2, 0, "system", "<" * 900), *[(2, i, "assistant", "[" * 300) for i in range(1, 30)]]
+    df = spark.createDataFrame(rows, CHAT)
+    got = chat.windows(df).orderBy("block", "piece", "span").collect()
+    check_windows(got)
+    assert [r.n_repeated for r in got if r.conv_id == 1] == [0, 0] and len([r for r in got if r.conv_id == 2]) > 5
+    assert {r.conv_id: tuple(r)[1:5] for r in chat.digests(df).collect()} == brute_chat(rows)
+
+
+def test_chat_repeated_turn_numbers_are_cut_into_pieces(spark):
+    """Blocks of more rows than MOST, and extra columns with clashing names."""
+    rng = random.Random(4)
+    rows = [(1, rng.randrange(3), rng.choice(["user", "assistant"]), f"t{rng.randrange(400)}") for _ in range(1500)] + [(1, 10**12, "user", "far away"), (2, 0, "user", "one")]
+    df = spark.createDataFrame(rows, CHAT).selectExpr("*", "1 AS block", "2 AS tokens", "'x' AS piece").repartition(5)
+    assert {r.conv_id: tuple(r)[1:5] for r in chat.digests(df).collect()} == brute_chat(rows)
+    got = chat.windows(df).collect()
+    check_windows(got)
+    assert {r.piece for r in got} == set(range(6))
+
+
 def test_chat_query_has_the_planted_conversation(spark, tmp_path):
     spark.createDataFrame([(5, 0, "user", "hi"), (5, 1, "assistant", "ho")], CHAT).write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.conv_id: r for r in op6_chat(spark, str(tmp_path)).collect()}
