@@ -1,10 +1,13 @@
 """SimHash near-duplicates.
 
-Fingerprints are mapped to the bit counts of 32 two-bit segments. The Manhattan distance of two
-count vectors is at most the Hamming distance of the fingerprints, so fingerprints that differ in
-at most ``d`` bits have equal counts in all but ``d`` of ``d + 3`` blocks of segments. A grid cell
-is the counts of three blocks, and each choice of blocks is one grid: fingerprints within reach
-share a cell of some grid. In a cell the Manhattan distance is checked, then the exact one.
+Embedding: a fingerprint maps to the bit counts (0, 1 or 2) of its 32 two-bit segments. The
+Manhattan distance of two count vectors is at most the Hamming distance of the fingerprints.
+
+Grid range-join: the segments are dealt to ``d // 2 + 1`` blocks, so that vectors within ``d`` of
+each other are within 1 in some block. Each block is a grid whose cells are the count vectors of
+its segments. A fingerprint stands in its own cell and probes the cells one step above it (its
+vector with one count more); two vectors within 1 either share a cell, or one probes the other's.
+In a cell the Manhattan distance over all segments is checked, then the exact Hamming distance.
 
 Copies meet as one fingerprint. A cell with many fingerprints is compared in blocks of bounded
 size, as pairs of blocks in separate groups. A cell returns stars (at most one row for each of
@@ -12,13 +15,13 @@ its fingerprints) and not its pairs.
 
 Defined results: a text that is null or has no word has fingerprint 0 and links like any other;
 a text of one or two words is one shingle; repeated rows have equal fingerprints; other columns
-are ignored; an empty table gives an empty result. doc_id must not be null.
+are ignored; an empty table gives an empty result. A null doc_id is a document like any other: it
+is the smallest of a component only where no other id is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,8 @@ from quillsieve.llm.tables import Scratch
 SEED = 42
 #: Fingerprints of one block of a cell; larger cells are compared block by block.
 BLOCK = 1024
+#: Fingerprints compared at once with a block.
+ROWS = 256
 
 
 def fingerprint_array(arr: pa.Array, shingle: int = 3) -> np.ndarray:
@@ -76,32 +81,49 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp") -> DataFram
     return add_columns(df, quoted(text).cast("string"), make, [T.StructField(out, T.LongType())])
 
 
-def grids(distance: int) -> list[int]:
-    """For each grid the bits of the packed counts that make up its cells (signed)."""
-    blocks = distance + 3
-    edges = [2 * (32 * i // blocks) for i in range(blocks + 1)]
-    masks = [(1 << edges[i + 1]) - (1 << edges[i]) for i in range(blocks)]
-    found = [sum(c) for c in combinations(masks, 3)]
-    return [m - (1 << 64) if m >> 63 else m for m in found]
+_ONES = 0x5555555555555555
+
+
+def grids(distance: int) -> list[tuple[int, int]]:
+    """(first segment, one after the last) of each grid's block of segments."""
+    blocks = distance // 2 + 1
+    edges = [32 * i // blocks for i in range(blocks + 1)]
+    return list(zip(edges, edges[1:]))
+
+
+def embed(fp):
+    """Counts of the 32 segments, as two bits each (a column of long)."""
+    odd, even = fp.bitwiseAND(F.lit(_ONES)), F.shiftrightunsigned(fp, 1).bitwiseAND(F.lit(_ONES))
+    return F.shiftleft(odd.bitwiseAND(even), 1).bitwiseOR(odd.bitwiseXOR(even))
+
+
+def ladder(u: np.ndarray) -> np.ndarray:
+    """Counts as bits (one if at least 1, another if 2): their Hamming distance is the Manhattan
+    distance of the count vectors."""
+    odd, even = u & np.uint64(_ONES), u >> np.uint64(1) & np.uint64(_ONES)
+    return (odd | even) | (odd & even) << np.uint64(1)
 
 
-def close_stars(fp: np.ndarray, side: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+def close_stars(fp: np.ndarray, side: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Fingerprints of a group linked at ``distance``, each with its group's smallest member.
 
-    side: 0 and 1 for the two blocks that are compared; all 0 for a block with itself.
+    side: 0 and 1 for the two blocks that are compared; all 0 for a block with itself. home: of the
+    two of a pair at least one stands in its own cell.
     """
     u = fp.view(np.uint64)
-    counts = np.bitwise_count(u.view(np.uint8).reshape(-1, 8)).astype(np.int16)
-    a = np.flatnonzero(side == 0)
-    b = np.flatnonzero(side == 1)
-    b = b if len(b) else a
-    near = np.zeros((len(a), len(b)), np.int16)
-    for k in range(8):
-        near += np.abs(counts[a, k][:, None] - counts[b, k][None, :])
-    i, j = np.nonzero(near <= distance)
-    i, j = a[i], b[j]
-    exact = (np.bitwise_count(u[i] ^ u[j]) <= distance) & (i != j)
-    i, j = i[exact], j[exact]
+    steps = ladder(u)
+    found_i, found_j = [], []
+    other = np.flatnonzero(side == 1)
+    own = np.flatnonzero(side == 0)
+    for a, b in ((own[home[own]], other), (other[home[other]], own)) if len(other) else ((own[home[own]], own),):
+        for lo in range(0, len(a), ROWS):
+            x = a[lo : lo + ROWS]
+            i, j = np.nonzero(np.bitwise_count(steps[x][:, None] ^ steps[b][None, :]) <= distance)
+            i, j = x[i], b[j]
+            exact = (np.bitwise_count(u[i] ^ u[j]) <= distance) & (u[i] != u[j])
+            found_i.append(i[exact])
+            found_j.append(j[exact])
+    i, j = (np.concatenate(f) if f else np.zeros(0, np.int64) for f in (found_i, found_j))
     label = np.arange(len(fp))
     while len(i):
         low = label.copy()
@@ -122,7 +144,7 @@ def _stars(distance: int):
 
         def cells(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
             cut = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
-            found = [close_stars(np.ascontiguousarray(g[:, 4]), g[:, 5], distance) for g in np.split(rows, cut) if len(g) > 1]
+            found = [close_stars(np.ascontiguousarray(g[:, 4]), g[:, 5], g[:, 6] == 1, distance) for g in np.split(rows, cut) if len(g) > 1 and g[:, 6].any()]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], ["a", "b"])
 
@@ -145,18 +167,29 @@ def links(prints: DataFrame, scratch: Scratch, distance: int = 3, fp: str = "fp"
 
     prints: distinct fingerprints.
     """
-    pairs = F.lit(0x5555555555555555)
-    odd, even = F.col(fp).bitwiseAND(pairs), F.shiftrightunsigned(fp, 1).bitwiseAND(pairs)
-    packed = F.shiftleft(odd.bitwiseAND(even), 1).bitwiseOR(odd.bitwiseXOR(even))  # counts 0, 1, 2 in two bits each
-    each = F.explode(F.array(*[F.struct(F.lit(i).alias("grid"), F.col("packed").bitwiseAND(F.lit(m)).alias("cell")) for i, m in enumerate(grids(distance))]))
-    cells = prints.select(F.col(fp).alias("fp"), packed.alias("packed")).select("fp", each.alias("c")).select("c.grid", "c.cell", "fp")
-    full = cells.groupBy("grid", "cell").count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    met = cells.join(full.drop("count"), ["grid", "cell"])
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    cells = []
+    for grid, (lo, hi) in enumerate(grids(distance)):
+        mask = (1 << 2 * hi) - (1 << 2 * lo)
+        cell = F.col("packed").bitwiseAND(F.lit(signed(mask)))
+        cells.append(F.struct(F.lit(grid).alias("grid"), cell.alias("cell"), F.lit(1).alias("home")))
+        if distance:
+            for k in range(lo, hi):  # a count of 2 has no step above it
+                able = F.shiftrightunsigned("packed", 2 * k + 1).bitwiseAND(F.lit(1)) == 0
+                step = F.when(F.shiftright("packed", 2 * k).bitwiseAND(F.lit(1)) == 0, F.lit(1 << 2 * k)).otherwise(F.lit(signed(3 << 2 * k)))
+                cells.append(F.when(able, F.struct(F.lit(grid).alias("grid"), cell.bitwiseXOR(step).alias("cell"), F.lit(0).alias("home"))))
+    named = prints.select(F.col(fp).alias("fp"), embed(F.col(fp)).alias("packed"))
+    named = named.select("fp", F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.grid", "c.cell", "c.home", "fp")
+    full = named.groupBy("grid", "cell").agg(F.count("*").alias("n"), F.sum("home").alias("homes")).where("n > 1 and homes > 0").select("grid", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    met = named.join(full, ["grid", "cell"])
     own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("grid", "cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "fp", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    met = met.select("grid", "cell", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "fp", (F.col("own") > F.col("other")).cast("int").alias("side"), "home")
     keys = ["grid", "cell", "x", "y"]
-    dealt = met.repartition(*keys).sortWithinPartitions(*keys)
+    # A stated number of partitions: the work of a group grows with the square of its rows, so
+    # small partitions must not be put together by their bytes.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = met.repartition(parts, *keys).sortWithinPartitions(*keys)
     return scratch.cut(dealt.mapInArrow(_stars(distance), "a long, b long").distinct(), "links")
 
 
@@ -175,8 +208,9 @@ def components(df: DataFrame, distance: int = 3, text: str = "text", doc_id: str
 
 def dedupe(df: DataFrame, distance: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The rows of df whose document has the smallest id of its component."""
-    kept = components(df, distance, text, doc_id).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return df.join(kept, quoted(doc_id) == kept.kept_id, "left_semi")
+    gone = components(df, distance, text, doc_id).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone_id"))
+    gone = Scratch(df.sparkSession, "simhash-dedupe").cut(gone.distinct(), "gone")
+    return df.join(gone, quoted(doc_id).eqNullSafe(gone.gone_id), "left_anti")
 
 
 def digests(df: DataFrame) -> DataFrame:
