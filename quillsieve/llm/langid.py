@@ -1,11 +1,11 @@
 """Language identification by cross-parsing.
 
-For each language a suffix automaton is built over words of labelled texts. A word (with a mark
-at both ends) is cut into phrases by longest matches in the automaton: the fewer phrases, the more
-alike. A text's cost in a language is the number of its phrases, weighted by log2 of the
-automaton's size (the bits that a pointer costs) and normalised by the text's letters; the
-language of the least cost wins. Words are parsed one by one, so a slice of texts parses each
-distinct word once, and all of a text's words count.
+For each language a suffix automaton is built over running labelled text: words of letters, in
+lower case, with one space between them and at both ends. A text in the same form is cut into
+phrases by longest matches in the automaton, across words: the fewer phrases, the more alike. A
+text's cost in a language is the number of its phrases, weighted by log2 of the automaton's size
+(the bits that a pointer costs) and normalised by the text's letters; the language of the least
+cost wins. The whole text is parsed, a character that a language never has is a phrase.
 
 Learning uses a bounded sample: for each language the texts of smallest hash until SAMPLE_CHARS
 letters; the number of languages is bounded by MAX_LANGUAGES (more raise an error). Prediction
@@ -18,7 +18,7 @@ rows and very long texts are handled like any other.
 
 from __future__ import annotations
 
-import struct
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -26,26 +26,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsieve.llm.arrays import Words, add_columns, quoted, remember
+from quillsieve.llm.arrays import add_columns, quoted
 
 SAMPLE_CHARS = 60_000
 #: Texts that one language's sample is cut from, at most.
 SAMPLE_TEXTS = 100
 MAX_LANGUAGES = 256
-#: Remembered words of a Python worker.
-MEMORY = 200_000
 UNKNOWN = "und"
+#: Characters that count as word characters but are neither letters nor decimal digits.
+_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+
+
+def running(text: str) -> str:
+    """Words of letters in lower case, with one space around each; empty without a letter."""
+    found = _LETTERS.findall(text.lower())
+    return f" {' '.join(found)} " if found else ""
 
 
 class SuffixAutomaton:
-    """Automaton of all substrings of some words; transitions as one dictionary per state."""
+    """Automaton of all substrings of some texts; transitions as one dictionary per state."""
 
-    def __init__(self, words):
+    def __init__(self, texts):
         self.next: list[dict[str, int]] = [{}]
         link, size = [-1], [0]
-        for word in words:
+        for text in texts:
             last = 0
-            for c in word:
+            for c in text:
                 if c in self.next[last]:
                     q = self.next[last][c]
                     if size[q] == size[last] + 1:
@@ -86,20 +93,22 @@ class SuffixAutomaton:
         link.append(link[q])
         return len(self.next) - 1
 
-    def phrases(self, word: str) -> int:
-        """Longest-match phrases of a word; a character that never occurs is one by itself."""
-        table, state, count = self.next, 0, 0
-        for c in word:
-            to = table[state].get(c)
-            if to is None:
-                count += state > 0
-                to = table[0].get(c)
-                if to is None:
+    def phrases(self, text: str) -> int:
+        """Longest-match phrases of a text; a character that never occurs is one by itself."""
+        table = self.next
+        root = table[0]
+        at, count = root, 0
+        for c in text:
+            if c in at:
+                at = table[at[c]]
+            else:
+                count += at is not root
+                if c in root:
+                    at = table[root[c]]
+                else:
                     count += 1
-                    state = 0
-                    continue
-            state = to
-        return count + (state > 0)
+                    at = root
+        return count + (at is not root)
 
 
 class Model:
@@ -108,41 +117,17 @@ class Model:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         self.automata = [SuffixAutomaton(dict.fromkeys(samples[name])) for name in self.languages]
-        self.known: dict[bytes, bytes] = {}
-
-    def costs(self, word: bytes) -> tuple[float, ...]:
-        """Letters of a word, and its bits in each language (zeros if it has no letter)."""
-        letters = "".join(c for c in word.decode("utf-8", "ignore").lower() if c.isalpha())
-        if not letters:
-            return (0.0,) * (1 + len(self.automata))
-        marked = f" {letters} "
-        return (len(letters), *[a.phrases(marked) * a.bits for a in self.automata])
-
-    def table(self, words: list[bytes]) -> np.ndarray:
-        pack = struct.Struct(f"<{1 + len(self.automata)}d").pack
-        remember(self.known, words, MEMORY, lambda fresh: [pack(*self.costs(w)) for w in fresh])
-        return np.frombuffer(b"".join([self.known[w] for w in words]), "<f8").reshape(len(words), 1 + len(self.automata))
 
     def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. Score: how far the second language is behind."""
-        w = Words(arr)
-        n, k = len(arr), len(self.languages)
-        names, scores = [UNKNOWN] * n, np.zeros(n)
-        if not len(w) or not k:
-            return names, scores
-        codes, distinct = w.codes()
-        costs = self.table(distinct)
-        sums = np.zeros((n, 1 + k))
-        some = np.flatnonzero(w.counts)
-        for j in range(1 + k):
-            sums[some, j] = np.add.reduceat(costs[codes, j], w.off[some])
-        best = sums[:, 1:].argmin(axis=1)
-        order = np.sort(sums[:, 1:], axis=1)
-        judged = sums[:, 0] > 0
-        second = order[:, 1] if k > 1 else np.full(n, np.inf)
-        scores[judged] = 1 - order[judged, 0] / second[judged]
-        for i in np.flatnonzero(judged).tolist():
-            names[i] = self.languages[best[i]]
+        names, scores = [UNKNOWN] * len(arr), np.zeros(len(arr))
+        for i, value in enumerate(arr):
+            text = running(value.as_py() or "") if self.automata else ""
+            if text:
+                costs = [a.phrases(text) * a.bits for a in self.automata]
+                best = min(costs)
+                names[i] = self.languages[costs.index(best)]
+                scores[i] = 1 - best / sorted(costs)[1] if len(costs) > 1 else 1.0
         return names, scores
 
 
@@ -158,11 +143,8 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     found = top.withColumn("before", F.coalesce(upto, F.lit(0))).where(F.col("before") < SAMPLE_CHARS).select("lang", "text").toLocalIterator()  # bound: MAX_LANGUAGES samples
     samples: dict[str, list[str]] = {}
     for row in found:
-        words = samples.setdefault(row["lang"], [])
-        for word in row["text"].split():
-            letters = "".join(c for c in word.lower() if c.isalpha())
-            if letters:
-                words.append(f" {letters} ")
+        if text_ := running(row["text"]):
+            samples.setdefault(row["lang"], []).append(text_)
     return Model(samples)
 
 

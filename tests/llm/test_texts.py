@@ -9,13 +9,16 @@ from math import log10
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
 from quillsieve.llm import bpe, decontam, langid, license_scan, lm, rollup, simhash, substring
+from quillsieve.llm.components import connected
 from quillsieve.llm.queries import vocabulary
+from quillsieve.llm.tables import Scratch
 
 DOCS = "doc_id long, text string"
 
@@ -143,15 +146,53 @@ def test_simhash_equals_brute_force(spark, monkeypatch):
 
 
 def test_grids_meet_within_distance():
-    """Fingerprints at distance 3 share a cell of some grid."""
-    rng, pairs = random.Random(2), 0x5555555555555555
-    counts = lambda x: (x & pairs) + (x >> 1 & pairs)
-    for _ in range(2000):
-        a = rng.getrandbits(64)
-        b = a
-        for k in rng.sample(range(64), 3):
-            b ^= 1 << k
-        assert any(counts(a) & m == counts(b) & m for m in (g % (1 << 64) for g in simhash.grids(3)))
+    """Of fingerprints within reach one stands in or one step above the other's cell of some grid."""
+    rng = random.Random(2)
+    counts = lambda x: [(x >> 2 * k & 3).bit_count() for k in range(32)]
+    for distance in (0, 1, 2, 3, 4, 6):
+        for _ in range(1000):
+            a = rng.getrandbits(64)
+            b = a
+            for k in rng.sample(range(64), distance):
+                b ^= 1 << k
+            p, q = counts(a), counts(b)
+            assert any(sum(abs(x - y) for x, y in zip(p[lo:hi], q[lo:hi])) <= (distance > 0) for lo, hi in simhash.grids(distance))
+            steps = simhash.ladder(np.array([a, b], np.uint64))
+            assert int(np.bitwise_count(steps[0] ^ steps[1])) == sum(abs(x - y) for x, y in zip(p, q)) <= distance
+
+
+def test_simhash_links_of_all_near_fingerprints(spark, monkeypatch):
+    """Components of planted fingerprints, the extreme ones too, against all pairs."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    rng = random.Random(6)
+    made = {0, 2**64 - 1, 0b111, 2**64 - 8}
+    for _ in range(60):
+        a = rng.choice([0, 2**64 - 1, rng.getrandbits(64), rng.getrandbits(64)])
+        for _ in range(rng.randrange(8)):
+            made.add(a)
+            for k in rng.sample(range(64), rng.randrange(1, 5)):
+                a ^= 1 << k
+    fps = sorted(made)
+    df = spark.createDataFrame([(f - 2**64 if f >> 63 else f,) for f in fps], "fp long").repartition(3)
+    scratch = Scratch(spark, "test")
+    for distance in (0, 1, 3):
+        edges = {(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= distance}
+        got = {r.node % 2**64: r.root % 2**64 for r in connected(simhash.links(df, scratch, distance), scratch).collect()}
+        root = {f: f for f in fps}
+        find = lambda x: x if root[x] == x else find(root[x])
+        for a, b in edges:
+            root[find(a)] = find(b)
+        groups = lambda of, nodes: {frozenset(n for n in nodes if of(n) == of(m)) for m in nodes}
+        linked = {f for e in edges for f in e}
+        assert set(got) == linked and groups(got.get, linked) == groups(find, linked)
+
+
+def test_simhash_null_ids_and_clashing_columns(spark):
+    rows = [(None, "a b c d e", 1), (None, "a b c d e", 1), (4, "a b c d e", 1), (5, None, 2), (6, "", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp int").selectExpr("*", "1 AS component_id", "2 AS low")
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.components(df).collect()), key=str)
+    assert got == sorted([(None, 4), (None, 4), (4, 4), (5, 5), (6, 5)], key=str)
+    assert simhash.dedupe(df).columns == df.columns and sorted(r.doc_id for r in simhash.dedupe(df).collect()) == [4, 5]
 
 
 # Licenses
@@ -370,6 +411,39 @@ def test_langid_refuses_too_many_languages(spark, monkeypatch):
         langid.fit(make(4))
 
 
+def test_langid_reads_running_text():
+    """Longest matches go across words; only letters count."""
+    assert langid.running(" Ab,c 12\u00bd D_e\n") == " ab c d e " and langid.running("12 \u00bd\u00b2 _") == ""
+    model = langid.Model({"x": [" one two three "], "y": [" two one three "]})
+    assert [a.phrases(" one two ") for a in model.automata] == [1, 2]
+    names, scores = model.predict(pa.array(["One TWO", "two, one?", None, "", "7"]))
+    assert names == ["x", "y", "und", "und", "und"] and (scores[2:] == 0).all() and (scores[:2] > 0).all()
+
+
+def test_langid_equals_brute_force(spark):
+    """Each prediction is the least number of greedy phrases times bits, over whole texts."""
+    rng = random.Random(11)
+    make = lambda alphabet: " ".join("".join(rng.choices(alphabet, k=rng.randrange(1, 7))) for _ in range(rng.randrange(1, 60)))
+    rows = [(i, make("abcde" if i % 2 else "cdefg"), "odd" if i % 2 else "even") for i in range(60)] + [(100, make("abcdefg") * 400, None), (100, "abc", "odd"), (None, "fgf", None)]
+    df = spark.createDataFrame(rows, DOCS + ", lang string").selectExpr("*", "1 AS score", "'z' AS lang_pred").repartition(3)
+    model = langid.fit(df)
+    parts = {}
+    for name, a in zip(model.languages, model.automata):
+        texts = [langid.running(t) for _, t, lang in rows if lang == name]
+        parts[name] = ({t[i:j] for t in texts for i in range(len(t)) for j in range(i + 1, min(len(t), i + 40) + 1)}, a.bits)
+    for r in langid.predict(df, model).collect():
+        text, costs = langid.running(r.text), {}
+        for name, (known, bits) in parts.items():
+            at = n = 0
+            while at < len(text):
+                at += max((k for k in range(1, min(40, len(text) - at) + 1) if text[at : at + k] in known), default=1)
+                n += 1
+            costs[name] = n * bits
+        best, second = sorted(costs.values())
+        assert (r.lang_pred, r.score) == (min(costs, key=lambda k: (costs[k], k)), pytest.approx(1 - best / second))
+    assert langid.predict(df, model).columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+
+
 def test_automaton_phrases():
     """Greedy longest matches, compared with a search in all substrings."""
     rng = random.Random(3)
