@@ -1,27 +1,28 @@
 """Language-model scores: a unigram base and a gated recurrent model.
 
-Counts. One pass counts a list of FREQUENT words per task, writes each document's other words, and
-the document as two bytes a word, which is what the model reads. The other words are counted and
-joined back as (word, document) rows, so no table of all words is held anywhere. The list comes from a bounded sample and decides only which way a word takes: the
-counts of both ways are exact and over all training documents.
-
-Model. A gated recurrent network reads the document word by word; the WORDS most frequent words
-(with the end, and one name for all other words) are predicted by a softmax over classes and one
-within the class. Another word's probability is that of the common name times its smoothed share
-among such words. Each task trains on all of its training documents by truncated backpropagation
-in numpy, in windows through which the state is carried, from the same start (the counts); the tasks' weights
-are averaged by tokens. Documents run side by side in lanes; scoring carries the state through a
-whole document, whatever its length.
-
-Defined results: a null text is an empty one and has the end as its only token; repeated rows get
-equal scores; other columns are ignored; without training documents N and V are 0 and the model
-is its start; an empty table gives an empty result.
+Counts. A first pass counts the words of all training documents (each slice of texts aggregates
+its own before the shuffle). The FREQUENT most frequent words, by these exact counts, go to every
+task; a second pass writes each document as two bytes a word, which is what the model reads, and
+(word, document) rows of the other words, to which their counts are joined. No table of all words
+is held anywhere, and every count covers all training documents.
+
+Model. A gated recurrent network reads the document word by word; the most frequent words (with
+the end, and one name for all other words) are predicted by a softmax over classes and one within
+the class. The number of words grows with the square root of the training tokens up to MOST_WORDS,
+which bounds a worker's memory. Another word's probability is that of the common name times its
+smoothed share among such words. Each task trains on all of its training documents by truncated
+backpropagation in numpy, in windows through which the state is carried, from the same start (the
+counts); the tasks' weights are averaged by tokens. Documents run side by side in lanes; scoring
+carries the state through a whole document, whatever its length.
+
+Defined results: a null text is an empty one and has the end as its only token; a null doc_id is a
+training document; repeated rows get equal scores; other columns are ignored; without training
+documents N and V are 0 and the model is its start; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,11 @@ from quillsieve.llm.tables import Scratch
 
 #: At most RARE words, as a place takes two bytes.
 FREQUENT = RARE = 65_535
-SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 20_000
-WORDS, CLASSES, HIDDEN = 256, 16, 12
+#: Names of the network's words: a power of two from LEAST_WORDS to MOST_WORDS, by training tokens.
+LEAST_WORDS, MOST_WORDS = 256, 2048
+CLASSES, HIDDEN = 32, 24
+#: Weights in a row of the rows that are averaged.
+PART = 4096
 WINDOW, RATE, MOST_LANES, LARGEST, UPDATES = 32, 0.02, 512, 5, 100
 END, OTHER = 0, 1  # names of the end and of words outside the list
 LN10 = float(np.log(10))
@@ -48,8 +52,8 @@ def held_out(doc_id: str = "doc_id"):
 class Lists:
     """Frequent words and, once counted, their counts and names in the network."""
 
-    def __init__(self, words: list[bytes]):
-        self.words = words
+    def __init__(self, words: list[bytes], size: int = LEAST_WORDS):
+        self.words, self.size = words, size
         self.place = {w: i for i, w in enumerate(words)}
 
     def places(self, distinct: list[bytes]) -> np.ndarray:
@@ -61,32 +65,32 @@ class Lists:
         n = len(counts)
         self.log, self.known, self.names = np.zeros(RARE + 1), np.zeros(RARE + 1, bool), np.full(RARE + 1, OTHER, np.int64)
         self.log[:n], self.known[:n] = np.log10(counts + 1.0), counts > 0
-        top = np.lexsort((np.arange(n), -counts))[: WORDS - 2]
+        top = np.lexsort((np.arange(n), -counts))[: self.size - 2]
         top = top[counts[top] > 0]
         self.names[top] = np.arange(2, 2 + len(top))
-        total = np.zeros(WORDS)
+        total = np.zeros(self.size)
         total[2 : 2 + len(top)] = counts[top]
         total[END], total[OTHER] = ends, others + counts.sum() - counts[top].sum()
         order = np.argsort(-total, kind="stable")
-        self.rank = np.empty(WORDS, np.int64)
-        self.rank[order] = np.arange(WORDS)
+        self.rank = np.empty(self.size, np.int64)
+        self.rank[order] = np.arange(self.size)
         self.total = np.maximum(total[order], 0.01)  # by rank
 
 
 class Network:
     """Gated recurrent network; the input is the name before, the output class and word."""
 
-    shapes = {"x": (WORDS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "c": (HIDDEN + 1, CLASSES), "w": (CLASSES, HIDDEN + 1, WORDS // CLASSES)}
-
-    def __init__(self, flat: np.ndarray | None = None, lists: Lists | None = None):
+    def __init__(self, lists: Lists, flat: np.ndarray | None = None):
         """Weights as given; or a start that predicts by counts alone."""
         rng = np.random.default_rng(11)
+        self.size = lists.size // CLASSES
+        self.shapes = {"x": (lists.size, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "c": (HIDDEN + 1, CLASSES), "w": (CLASSES, HIDDEN + 1, self.size)}
         self.p, at = {}, 0
         for k, shape in self.shapes.items():
             n = int(np.prod(shape))
             self.p[k] = (rng.normal(0, 0.1, shape) if flat is None else flat[at : at + n].reshape(shape)).astype(np.float32)
             at += n
-        if flat is None and lists is not None:
+        if flat is None:
             inside = np.log(lists.total.reshape(CLASSES, -1))
             classes = np.log(lists.total.reshape(CLASSES, -1).sum(axis=1))
             self.p["c"][HIDDEN] = np.clip(classes - classes.mean(), -LARGEST, LARGEST)
@@ -109,7 +113,7 @@ class Network:
 
     def output(self, states: np.ndarray, target: np.ndarray, learn: dict | None = None):
         """ln P of each target (by rank) given the state before it; gradients if ``learn``."""
-        size = WORDS // CLASSES
+        size = self.size
         s = np.concatenate([states, np.ones((len(states), 1), np.float32)], axis=1)
         cls, word = target // size, target % size
         rows = np.arange(len(s))
@@ -241,22 +245,27 @@ class Coded:
 ROWS = "word binary, doc_id long, tid long, train boolean, n long, codes binary"
 
 
-def _count_rows(shared):
-    """Columns doc_id, tid, train, text to three kinds of ROWS: a word of a document that isn't
-    frequent; a document, with its codes; a frequent word, with the task's count."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to words and their counts, aggregated slice by slice."""
+    for batch in batches:
+        for part in steps(batch, 0):
+            codes, distinct = Words(part.column(0), lower=True).codes()
+            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.binary()), pa.array(np.bincount(codes, minlength=len(distinct)))], ["word", "n"])
+
+
+def _code_rows(shared):
+    """Columns doc_id, tid, train, text to two kinds of ROWS: a word of a document that isn't
+    frequent; a document, with its codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = shared.value
-        total = np.zeros(len(lists.words), np.int64)
         names = [f.split()[0] for f in ROWS.split(", ")]
         for batch in batches:
             for part in steps(batch, 3):
                 w = Words(part.column(3), lower=True)
                 codes, distinct = w.codes()
                 place = lists.places(distinct)[codes]
-                train = np.asarray(part.column(2).to_numpy(zero_copy_only=False), bool)
                 doc = np.repeat(np.arange(len(part)), w.counts)
-                total += np.bincount(place[(place < RARE) & train[doc]], minlength=len(total))[: len(total)]
                 rare = np.flatnonzero(place == RARE)
                 pair, n = np.unique(doc[rare] * max(1, len(distinct)) + codes[rare], return_counts=True)
                 at = pa.array(pair // max(1, len(distinct)))
@@ -264,35 +273,55 @@ def _count_rows(shared):
                 yield pa.RecordBatch.from_arrays([word, *[part.column(k).take(at) for k in range(3)], pa.array(n), pa.nulls(len(pair), pa.binary())], names)
                 packed = binary(w.off * 2, place.astype("<u2").view(np.uint8))
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), *part.columns[:3], pa.nulls(len(part), pa.int64()), packed], names)
-        own = np.flatnonzero(total)
-        none = [pa.nulls(len(own), kind) for kind in (pa.int64(), pa.int64(), pa.bool_(), pa.binary())]
-        yield pa.RecordBatch.from_arrays([pa.array([lists.words[i] for i in own.tolist()], pa.binary()), *none[:3], pa.array(total[own]), none[3]], names)
 
     return run
 
 
 def _train_rows(shared):
-    """Codes to the task's weights, as (place, weight times tokens, tokens)."""
+    """Codes to the task's weights times its tokens, PART weights a row, and the tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, net, seen = shared.value, Network(lists=shared.value), 0
+        lists, net, seen = shared.value, Network(shared.value), 0
         for batch in batches:
             for part in steps(batch, 0):
                 t = Coded(part.column(0), lists)
                 net.lanes(t.names, lists.rank[t.names], t.sizes, learn=True)
                 seen += len(t.names)
         if seen:
-            flat = net.flat()
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat * seen), pa.array(np.full(len(flat), float(seen)))], ["at", "value", "tokens"])
+            flat = net.flat() * seen
+            parts = [flat[lo : lo + PART].tobytes() for lo in range(0, len(flat), PART)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array(parts, pa.binary()), pa.array(np.full(len(parts), float(seen)))], ["at", "weights", "tokens"])
 
     return run
 
 
+def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of weights added up by place; holds one row a place, however many tasks there were."""
+    sums: dict[int, np.ndarray] = {}
+    tokens: dict[int, float] = {}
+    for batch in batches:
+        for at, weights, n in zip(*(c.to_pylist() for c in batch.columns)):
+            sums[at] = sums.get(at, 0) + np.frombuffer(weights)
+            tokens[at] = tokens.get(at, 0.0) + n
+    if sums:
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tobytes() for v in sums.values()], pa.binary()), pa.array(list(tokens.values()))], ["at", "weights", "tokens"])
+
+
+def _learned(marks: DataFrame, ready, start: np.ndarray) -> np.ndarray:
+    """Weights averaged over the tasks by their tokens; the start without training documents."""
+    rows = "at long, weights binary, tokens double"
+    spread = marks.where("train").select("codes").mapInArrow(_train_rows(ready), rows).repartition("at")
+    flat = start.copy()
+    for row in spread.mapInArrow(_sum_rows, rows).collect():  # one row a PART of the weights
+        flat[row["at"] * PART : (row["at"] + 1) * PART] = np.frombuffer(row["weights"]) / row["tokens"]
+    return flat
+
+
 def _score_rows(shared, weights):
     """Columns doc_id, tid, train, codes to the sums that need no rare word's count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists, net = shared.value, Network(weights.value)
+        lists, net = shared.value, Network(shared.value, weights.value)
         for batch in batches:
             for part in steps(batch, 3):
                 t, n = Coded(part.column(3), lists), len(part)
@@ -306,14 +335,9 @@ def _score_rows(shared, weights):
     return run
 
 
-def frequent(docs: DataFrame) -> list[bytes]:
-    """The most frequent words of a bounded sample of texts, drawn by hash."""
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    drawn = docs.select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).where(F.col("h") <= min(2**63 - 1, int((2 * share - 1) * 2**63)))
-    counts: Counter[bytes] = Counter()
-    for row in drawn.limit(2 * SAMPLE_DOCS).toLocalIterator():
-        counts.update((row["text"] or "").encode().lower().split())
-    return [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:FREQUENT]]
+def network_words(tokens: int) -> int:
+    """The power of two next to the square root of the tokens, within the bounds."""
+    return int(np.clip(2 ** round(np.log2(max(1, tokens)) / 2), LEAST_WORDS, MOST_WORDS))
 
 
 def scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -322,35 +346,28 @@ def scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     scratch = Scratch(spark, "lm")
     docs = df.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("tid"), held_out(doc_id).alias("held_out"), quoted(text).cast("string").alias("text"))
     train = docs.where("not held_out")
-    lists = Lists(frequent(train))
-    sent = spark.sparkContext.broadcast(lists)  # bound: FREQUENT words
-    rows = scratch.cut(docs.select("doc_id", "tid", (~F.col("held_out")).alias("train"), "text").mapInArrow(_count_rows(sent), ROWS), "rows")
-    rare = rows.where("word is not null and tid is not null")
-    marks = rows.where("word is null")
-    learned = F.sum(F.when(F.col("train"), F.col("n")).otherwise(0))
-    counts = scratch.cut(rare.groupBy("word").agg(learned.alias("c")), "counts")
-    usual = np.zeros(len(lists.words), np.int64)
-    for row in rows.where("tid is null").groupBy("word").agg(F.sum("n").alias("c")).collect():  # at most FREQUENT rows
-        usual[lists.place[bytes(row["word"])]] = row["c"]
-    ends = marks.where("train").count()
-    seen = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    lists.counted(usual, ends, seen["n"])
-    n, v = int(usual.sum()) + seen["n"] + ends, int((usual > 0).sum()) + seen["v"] + (ends > 0)
+    counts = scratch.cut(train.select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
+    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()  # bound: FREQUENT rows
+    usual = np.array([row["c"] for row in top], np.int64)
+    ends = train.select("held_out").count()
+    seen = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    n, v = seen["n"] + ends, seen["v"] + (ends > 0)
+    lists = Lists([bytes(row["word"]) for row in top], network_words(n))
+    lists.counted(usual, ends, seen["n"] - int(usual.sum()))
     other = lists.names[: len(usual)] == OTHER
-    n_other, v_other = int(usual[other].sum()) + seen["n"], int((usual[other] > 0).sum()) + seen["v"]
+    n_other, v_other = seen["n"] - int(usual[~other].sum()), seen["v"] - int((~other).sum())
 
-    joined = rare.join(counts, "word").select("doc_id", "tid", (F.col("n") * F.log10(F.col("c") + 1.0)).alias("log"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), F.lit(0).alias("copies"))
+    ready = spark.sparkContext.broadcast(lists)  # bound: FREQUENT words
+    rows = scratch.cut(docs.select("doc_id", "tid", (~F.col("held_out")).alias("train"), "text").mapInArrow(_code_rows(ready), ROWS), "rows")
+    rare = rows.where("word is not null")
+    marks = rows.where("word is null")
+    joined = rare.join(counts, "word", "left").select("doc_id", "tid", (F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("log"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"), F.lit(0).alias("copies"))
     every = joined.union(marks.select("doc_id", "tid", F.lit(0.0), F.lit(0), F.lit(1)))
     per = every.groupBy("doc_id", "tid").agg(F.sum("log").alias("log"), F.sum("known").alias("known"), F.sum("copies").alias("copies"))
     per = scratch.cut(per.select(F.col("doc_id").alias("d"), F.col("tid").alias("t"), (F.col("log") / F.col("copies")).alias("rare"), (F.col("known") / F.col("copies")).cast("long").alias("n_rare")), "documents")
     scratch.drop(counts)
 
-    ready = spark.sparkContext.broadcast(lists)
-    sums = marks.where("train").select("codes").mapInArrow(_train_rows(ready), "at long, value double, tokens double").groupBy("at").agg((F.sum("value") / F.sum("tokens")).alias("w")).collect()  # one row a weight
-    flat = Network(lists=lists).flat()
-    for row in sums:
-        flat[row["at"]] = row["w"]
-    weights = spark.sparkContext.broadcast(flat)
+    weights = spark.sparkContext.broadcast(_learned(marks, ready, Network(lists).flat()))
     shape = "doc_id long, tid long, train boolean, model double, usual double, other double, n_other long, n_usual long, n_tokens long"
     judged = marks.select("doc_id", "tid", "train", "codes").mapInArrow(_score_rows(ready, weights), shape)
     end_log, base_log, other_log = float(np.log10(ends + 1)), float(np.log10(n + v + 1)), float(np.log10(n_other + v_other + 1))

@@ -286,16 +286,33 @@ def test_lm_base_and_shape(spark):
     assert lm.digests(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_lm_counts_are_exact_for_every_word(spark, monkeypatch):
+    """Words beyond the frequent list, a very long text, clashing columns, repeated and null ids."""
+    monkeypatch.setattr(lm, "FREQUENT", 5)
+    rng = random.Random(13)
+    rows = [(i, " ".join(words(rng, rng.randrange(40), 30))) for i in range(60)] + [(100, " ".join(words(rng, 30000, 50))), (None, "w1 w2"), (3, "w1 once"), (3, "w1 once")]
+    df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS word", "2 AS n", "3 AS train").repartition(4)
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    counts = Counter(x for i, t in rows if not held(i) for x in [*t.split(), None])
+    n, v = sum(counts.values()), len(counts)
+    want = sorted((str(i), len(t.split()) + 1, round(sum(log10((counts[x] + 1) / (n + v + 1)) for x in [*t.split(), None]), 6)) for i, t in rows)
+    got = lm.scores(df).collect()
+    assert sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6)) for r in got) == want
+    assert all(np.isfinite(r.score) and r.score < 0 for r in got)
+    assert [lm.network_words(x) for x in (0, 10**5, 10**6, 10**12)] == [256, 256, 1024, 2048]
+
+
 def test_lm_gradients():
     """Backpropagation against differences."""
     lists = lm.Lists([])
     lists.counted(np.zeros(0, np.int64), 1, 10)
     rng = np.random.default_rng(1)
-    net, names = lm.Network(), rng.integers(0, lm.WORDS, 12)
+    net, names = lm.Network(lists), rng.integers(0, lists.size, 12)
     sizes, seen = np.array([7, 5]), {}
     net.adam = lambda grads, n: seen.update({k: g.copy() for k, g in grads.items()})
     net.lanes(names, lists.rank[names], sizes, learn=True)
-    for key, at in (("u", (1, 2)), ("u", (3, 30)), ("c", (0, 1)), ("x", (int(names[0]), 5))):
+    cls, word = divmod(int(lists.rank[names][0]), net.size)
+    for key, at in (("u", (1, 2)), ("u", (3, 60)), ("c", (0, 1)), ("c", (lm.HIDDEN, cls)), ("x", (int(names[0]), 5)), ("w", (cls, 2, word)), ("w", (cls, lm.HIDDEN, (word + 1) % net.size))):
         loss = []
         for step in (1e-2, -1e-2):
             net.p[key][at] += step
@@ -429,15 +446,16 @@ def test_langid_equals_brute_force(spark):
     model = langid.fit(df)
     parts = {}
     for name, a in zip(model.languages, model.automata):
-        texts = [langid.running(t) for _, t, lang in rows if lang == name]
-        parts[name] = ({t[i:j] for t in texts for i in range(len(t)) for j in range(i + 1, min(len(t), i + 40) + 1)}, a.bits)
+        parts[name] = ("\0".join(langid.running(t) for _, t, lang in rows if lang == name), a.bits)
     for r in langid.predict(df, model).collect():
         text, costs = langid.running(r.text), {}
         for name, (known, bits) in parts.items():
             at = n = 0
             while at < len(text):
-                at += max((k for k in range(1, min(40, len(text) - at) + 1) if text[at : at + k] in known), default=1)
-                n += 1
+                k = 1
+                while at + k < len(text) and text[at : at + k + 1] in known:
+                    k += 1
+                at, n = at + k, n + 1
             costs[name] = n * bits
         best, second = sorted(costs.values())
         assert (r.lang_pred, r.score) == (min(costs, key=lambda k: (costs[k], k)), pytest.approx(1 - best / second))
