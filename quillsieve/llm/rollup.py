@@ -2,11 +2,11 @@
 
 A store keeps additive totals (documents and tokens by source, language and tokenizer version) as
 one small aggregated table per committed batch. An insert adds a document's counts, a delete
-subtracts them, a revision subtracts the old and adds the new ones. Committing a batch replaces
-whatever the batch's folder held, and a batch counts only once its write has ended (Spark's
-_SUCCESS mark), so a batch that failed or is sent again changes nothing twice. ``compact`` folds
-batches into a base, which lists the ids of its batches; those are then ignored, and a batch that
-comes late is not.
+subtracts them, a revision subtracts the old and adds the new ones. A batch that is sent again is
+written beside the one that is there, and takes its place once the write has ended (Spark's
+_SUCCESS mark); so a batch that failed, at whatever point, or is sent again changes nothing twice
+and takes nothing away. ``compact`` folds batches into a base, which lists the ids of its batches;
+those are then ignored, and a batch that comes late is not.
 
 Deltas are aggregated before the shuffle, so a source that holds most rows costs one row a task.
 
@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillsieve.llm import bpe
 from quillsieve.llm.arrays import quoted
 from quillsieve.llm.tables import Scratch, shared_dir
 
@@ -35,6 +36,13 @@ KEYS = ["source", "lang", "tokenizer"]
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
+def bpe_count(docs: DataFrame, vocabulary, out: str, text: str = "text") -> DataFrame:
+    """docs with ``out``: the number of byte-level BPE tokens, for tokenizer versions that are
+    vocabularies (``bpe.Vocabulary``) and not patterns."""
+    coded = bpe.encode(docs, vocabulary, text, "__ids")
+    return coded.withColumn(out, (F.length("__ids") / 4).cast("long")).drop("__ids")
+
+
 def count(text: Column, tokenizer: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(TOKENIZERS[tokenizer])), F.lit(0)).cast("long")
 
@@ -51,7 +59,8 @@ def _sums(rows: DataFrame) -> DataFrame:
 
 
 class Store:
-    """Totals under a path: ``batch=<id>`` and ``base=<number>`` folders; the last base counts.
+    """Totals under a path: ``batch=<id>.<try>`` and ``base=<number>.<try>`` folders. Of the tries
+    of a batch the last complete one counts, of all bases the last complete one.
 
     A base has, beside its totals, a row for each batch it contains: the id and nothing else.
     """
@@ -63,50 +72,73 @@ class Store:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def _committed(self, kind: str) -> list[int]:
+    def _folders(self, kind: str) -> list[tuple[int, int]]:
+        """(number, try) of all folders of a kind, complete or not."""
         fs, top = self._fs(self.path)
         if not fs.exists(top):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(top)]
-        ids = [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{kind}=")]
-        return sorted(i for i in ids if fs.exists(self._fs(f"{self.path}/{kind}={i}/_SUCCESS")[1]))
+        names = [s.getPath().getName().split("=", 1) for s in fs.listStatus(top)]
+        return sorted(tuple(map(int, n[1].split("."))) for n in names if n[0] == kind and len(n) == 2)
+
+    def _complete(self, kind: str) -> dict[int, int]:
+        """The last complete try of each number."""
+        done = lambda n, k: (lambda fs, where: fs.exists(where))(*self._fs(f"{self.path}/{kind}={n}.{k}/_SUCCESS"))
+        return {n: k for n, k in self._folders(kind) if done(n, k)}
+
+    def _write(self, kind: str, number: int, rows: DataFrame) -> str:
+        """rows as the next try of a number; earlier tries go once it is complete."""
+        tries = [k for n, k in self._folders(kind) if n == number]
+        new = max(tries, default=-1) + 1
+        rows.write.mode("error").parquet(f"{self.path}/{kind}={number}.{new}")
+        self._delete([f"{kind}={number}.{k}" for k in tries])
+        return f"{kind}={number}.{new}"
+
+    def _delete(self, names: list[str]) -> None:
+        for name in names:
+            fs, where = self._fs(f"{self.path}/{name}")
+            fs.delete(where, True)
 
     def commit(self, batch: int, rows: DataFrame) -> bool:
         """Put the deltas of a batch in place of what it had; False if the base holds it already."""
         if batch in self._contained():
             return False
-        _sums(rows).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+        self._write("batch", batch, _sums(rows))
         return True
 
+    def _base(self) -> list[str]:
+        return [f"base={n}.{k}" for n, k in sorted(self._complete("base").items())[-1:]]
+
     def _contained(self) -> set[int]:
         """Ids of the batches that the base contains."""
-        base = self._committed("base")[-1:]
-        rows = [self.spark.read.schema(f"{SCHEMA}, batch long").parquet(f"{self.path}/base={b}") for b in base]
+        rows = [self.spark.read.schema(f"{SCHEMA}, batch long").parquet(f"{self.path}/{b}") for b in self._base()]
         return {r["batch"] for df in rows for r in df.where("batch is not null").select("batch").collect()}
 
-    def _parts(self) -> tuple[list[str], list[int]]:
-        base, contained = self._committed("base")[-1:], self._contained()
-        batches = [b for b in self._committed("batch") if b not in contained]
-        return [f"{self.path}/base={b}" for b in base] + [f"{self.path}/batch={b}" for b in batches], batches
+    def _batches(self) -> dict[int, str]:
+        contained = self._contained()
+        return {n: f"batch={n}.{k}" for n, k in self._complete("batch").items() if n not in contained}
+
+    def _read(self, names: list[str]) -> DataFrame:
+        return self.spark.read.schema(SCHEMA).parquet(*[f"{self.path}/{n}" for n in names]).where("tokenizer is not null")
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over all committed batches."""
-        paths, _ = self._parts()
-        if not paths:
+        names = [*self._base(), *self._batches().values()]
+        if not names:
             return self.spark.createDataFrame([], SCHEMA)
-        return _sums(self.spark.read.schema(SCHEMA).parquet(*paths).where("tokenizer is not null")).where("n_docs <> 0 or n_tokens <> 0")
+        return _sums(self._read(names)).where("n_docs <> 0 or n_tokens <> 0")
 
     def compact(self) -> None:
-        """One base for all committed batches; their folders go once it is written."""
-        paths, batches = self._parts()
+        """One base for all committed batches; what it replaces goes once it is written."""
+        base, batches = self._base(), self._batches()
         if batches:
             ids = self.spark.createDataFrame([(b,) for b in sorted(self._contained() | set(batches))], "batch long")
-            rows = _sums(self.spark.read.schema(SCHEMA).parquet(*paths).where("tokenizer is not null")).unionByName(ids, allowMissingColumns=True)
-            number = max([batches[-1], *[b + 1 for b in self._committed("base")]])
-            rows.write.mode("overwrite").parquet(f"{self.path}/base={number}")
-            for path in paths:
-                fs, where = self._fs(path)
-                fs.delete(where, True)
+            rows = _sums(self._read([*base, *batches.values()])).unionByName(ids, allowMissingColumns=True)
+            self._write("base", max((n for n, _ in self._folders("base")), default=-1) + 1, rows)
+        # A base that ended before this one, and batches that it contains (after a stop, too).
+        last = self._base()
+        self._delete([f"base={n}.{k}" for n, k in self._folders("base") if f"base={n}.{k}" not in last])
+        held = self._contained()
+        self._delete([f"batch={n}.{k}" for n, k in self._folders("batch") if n in held])
 
 
 def replay(documents: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import shutil
 import zlib
 from collections import Counter
 from math import log10
@@ -401,6 +402,42 @@ def test_rollup_takes_a_late_batch(spark, tmp_path):
     assert store.commit(4, rows(1000)) and total() == [(4, 1111)]
 
 
+def test_rollup_survives_a_stop_at_any_point(spark, tmp_path):
+    """A batch that is written again in part, or a base that is, takes nothing away."""
+    store = rollup.Store(spark, str(tmp_path / "store"))
+    rows = lambda n: spark.createDataFrame([("s", None, "words-1", 1, n)], rollup.SCHEMA)
+    total = lambda: [(r.n_docs, r.n_tokens) for r in store.totals().collect()]
+    store.commit(1, rows(1))
+    (tmp_path / "store" / "batch=1.1").mkdir()  # begun, never ended
+    (tmp_path / "store" / "base=0.0").mkdir()
+    assert total() == [(1, 1)]
+    with pytest.raises(Exception, match="stop here"):
+        store.commit(1, rows(5).withColumn("n_tokens", F.raise_error(F.lit("stop here")).cast("long")))
+    assert total() == [(1, 1)]
+    assert store.commit(1, rows(7)) and store.commit(2, rows(10)) and total() == [(2, 17)]
+    kept = tmp_path / "kept"
+    shutil.copytree(tmp_path / "store" / "batch=2.0", kept)
+    store.compact()
+    shutil.copytree(kept, tmp_path / "store" / "batch=2.0")  # stopped before it was deleted
+    assert total() == [(2, 17)]
+    store.compact()
+    assert total() == [(2, 17)] and sorted(x.name for x in (tmp_path / "store").iterdir()) == ["base=1.0"]
+
+
+def test_rollup_of_bpe_tokens(spark, tmp_path):
+    """Two vocabularies as tokenizer versions, a revision from one to the other, against tiktoken."""
+    second = bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    rows = [(1, "Hello there, world", "a", "en"), (2, "Grüße an alle 123", "a", "de"), (3, None, "b", None), (4, "Hello there, world", "a", "en")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    both = rollup.bpe_count(rollup.bpe_count(d, vocabulary(), "one"), second, "two")
+    store = rollup.Store(spark, str(tmp_path / "store"))
+    store.commit(1, rollup.deltas(both, {"bpe-one": F.col("one")}))
+    store.commit(2, rollup.deltas(both.where("doc_id < 3"), {"bpe-one": F.col("one")}, -1).union(rollup.deltas(both.where("doc_id < 3"), {"bpe-two": F.col("two")})))
+    size = lambda v, t: len(tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=v.ranks, special_tokens={}).encode_ordinary(t or ""))
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in store.totals().collect()}
+    assert got == {("a", "en", "bpe-one"): (1, size(vocabulary(), rows[3][1])), ("b", None, "bpe-one"): (1, 0), ("a", "en", "bpe-two"): (1, size(second, rows[0][1])), ("a", "de", "bpe-two"): (1, size(second, rows[1][1]))}
+
+
 # Language
 
 
