@@ -4,26 +4,32 @@ Words lose the punctuation around them and their case; numbers, units and names
 placeholders, so a question whose numbers or names were exchanged has the template of the
 original. Each occurrence decides for itself: a capitalised word is a name, and one that begins a
 sentence is read both as a name and as a plain word, so the text around a passage changes nothing.
-Windows without placeholders are matched too. Windows of WINDOW template words are hash-joined with the benchmark's windows;
-matches are verified word by word, and along each alignment of a text with an item the slots must
-be consistent: one value of the item stands for one value of the text. An item counts as found
-where consistent windows, ENOUGH or half of all its windows, agree on an alignment.
+Windows without placeholders are matched too.
 
-The benchmark is a stated query set: it is read in blocks of BLOCK_ITEMS items, each broadcast
-(that is the bound) and held against all rows of the documents, which are not shuffled.
+1. The windows of WINDOW template words of all items are a table (kind, hash, item, place).
+2. Documents are scanned once, whatever the number of items. A Bloom filter of the items' hashes
+   (bounded by FILTER_BITS) lets few other windows through; these rows hold the window's words.
+3. Both are hash-joined by Spark. Rows of one document, item and alignment meet; an alignment has
+   at most the item's windows. Windows are verified word by word, and the slots must be consistent:
+   one value of the item stands for one value of the text.
+4. An item counts as found where consistent windows, ENOUGH or half of all its windows, agree on
+   an alignment.
+
+Texts are not shuffled, and what reaches the driver or a broadcast is the filter. The join is a
+plain equi-join, which adaptive execution splits where a passage stands in very many documents.
 
 Defined results: a null text has no words; an item of fewer than WINDOW words is one window, and
 one of fewer than LEAST is found only where all its words stand as they are; items without a word
-are never found; a template window with fewer than LITERALS words besides its placeholders proves
-nothing (a window of plain words always counts); repeated rows are found each; extra columns are
-kept by ``clean`` and ignored by ``found``.
+or without an id are never found; a template window with fewer than LITERALS words besides its
+placeholders proves nothing (a window of plain words always counts); one row for each document id,
+text and item, so equal rows give one; a null doc_id is a document like any other; extra columns
+are kept by ``clean`` and ignored by ``found``.
 """
 
 from __future__ import annotations
 
 import re
 import struct
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.arrays import Words, bound_batches, mix, quoted, remember, steps
+from quillsieve.llm.arrays import Words, mix, quoted, remember, steps
+from quillsieve.llm.tables import Scratch
 
 WINDOW, LEAST, LITERALS, ENOUGH = 8, 4, 4, 6
-BLOCK_ITEMS = 20_000
+#: Bits of the filter: as many for each hash, and at most (128 MB).
+BITS_EACH, FILTER_BITS = 32, 1 << 30
 #: Remembered words of a Python worker.
 MEMORY = 200_000
 
@@ -122,117 +130,166 @@ class Templates:
         return at, sums[at]
 
 
-class Index:
-    """The windows of a block of items."""
-
-    def __init__(self, ids: list[int], texts: list[str | None]):
-        t = Templates(pa.array(texts, pa.large_string()))
-        self.ids = ids
-        self.words: list[list[tuple[int, bytes]]] = []
-        by_width: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
-        self.width, self.total = [], []
-        at = {}
-        for i in range(len(ids)):
-            lo, hi = int(t.off[i]), int(t.off[i + 1])
-            self.words.append([(int(t.kind[j]), t.core(j)) for j in range(lo, hi)])
-            width = min(WINDOW, hi - lo)
-            self.width.append(width)
-            self.total.append(hi - lo - width + 1)
-            for kind in ((width, 0), (width, 1), (width, 2)) if width >= LEAST else ((width, 1),) if width else ():
-                if kind not in at:
-                    at[kind] = t.windows(*kind)
-                places, hashes = at[kind]
-                a, b = np.searchsorted(places, (lo, hi - width + 1))
-                for p, h in zip(places[a:b].tolist(), hashes[a:b].tolist()):
-                    if kind[1] == 1 or (t.kinds[kind[1]][p : p + width] == LITERAL).sum() >= min(LITERALS, width):
-                        by_width[kind][h].append((i, p - lo))
-        self.places = {w: dict(d) for w, d in by_width.items()}
-        self.hashes = {w: np.sort(np.fromiter(d, np.uint64, len(d))) for w, d in by_width.items()}
-
-    def search(self, t: Templates) -> Iterator[tuple[int, int, int, float, bool]]:
-        """(text, item, windows, share of the item's windows, whether all slots are equal)."""
-        met: dict[tuple[int, int, int], list[int]] = defaultdict(list)
-        for kind, hashes in self.hashes.items():
-            at, own = t.windows(*kind)
-            if not len(at):
-                continue
-            near = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-            hit = np.flatnonzero(hashes[near] == own)
-            docs = np.searchsorted(t.off, at[hit], side="right") - 1
-            for doc, p, h in zip(docs.tolist(), at[hit].tolist(), own[hit].tolist()):
-                for item, q in self.places[kind][h]:
-                    met[doc, item, p - q].append(q)
-        best: dict[tuple[int, int], tuple[int, float, bool]] = {}
-        for (doc, item, shift), places in met.items():
-            good, same = self.consistent(t, item, shift, sorted(set(places)))
-            need = min(ENOUGH, -(-self.total[item] // 2))
-            if good >= need:
-                new = (good, good / self.total[item], same)
-                best[doc, item] = max(best.get((doc, item), new), new)
-        for (doc, item), (good, share, same) in sorted(best.items()):
-            yield doc, item, good, share, same
-
-    def consistent(self, t: Templates, item: int, shift: int, places: list[int]) -> tuple[int, bool]:
-        """Windows on one alignment whose words are equal and whose slots contradict none before."""
-        words, width = self.words[item], self.width[item]
-        value: dict[tuple[int, bytes], bytes] = {}
-        good, same = 0, True
-        for q in places:
-            new = {}
-            for j in range(q, q + width):
-                kind, core = words[j]
-                there = t.core(shift + j)
-                if core != there and (kind == LITERAL or kind != t.kind[shift + j]):
-                    break
-                if kind != LITERAL and value.get((kind, core), new.setdefault((kind, core), there)) != there:
-                    break
-            else:
-                value |= new
-                good += 1
-                same &= all(k[1] == v for k, v in new.items())
-        return good, same
-
-
-def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", size: int = BLOCK_ITEMS) -> Iterator[Index]:
-    """Indexes of at most ``size`` items each."""
-    ids, texts = [], []
-    for row in benchmark.select(quoted(item_id).cast("long").alias("i"), quoted(text).cast("string").alias("t")).where("i is not null").toLocalIterator():
-        ids.append(row["i"])
-        texts.append(row["t"])
-        if len(ids) == size:
-            yield Index(ids, texts)
-            ids, texts = [], []
-    yield Index(ids, texts)
+class Filter:
+    """A Bloom filter of 64-bit hashes with four probes; more hashes than the bound is made for
+    only let more other windows through."""
+
+    def __init__(self, n: int):
+        self.bits = 1 << 16
+        while self.bits < min(BITS_EACH * n, FILTER_BITS):
+            self.bits *= 2
+        self.data = np.zeros(self.bits // 8, np.uint8)
+
+    def places(self, hashes: np.ndarray, k: int) -> np.ndarray:
+        return (mix(hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & np.uint64(self.bits - 1)).astype(np.int64)
+
+    def add(self, hashes: np.ndarray) -> None:
+        for k in range(4):
+            at = self.places(hashes, k)
+            np.bitwise_or.at(self.data, at >> 3, (1 << (at & 7)).astype(np.uint8))
+
+    def passing(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes that may have been added."""
+        left = np.arange(len(hashes))
+        for k in range(4):
+            at = self.places(hashes[left], k)
+            left = left[self.data[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1]
+        return left
+
+
+WORDS = pa.list_(pa.struct([("kind", pa.int8()), ("core", pa.binary())]))
+ITEMS = "item_id long, iid long, width int, total int, words array<struct<kind:tinyint,core:binary>>, windows array<struct<kind:int,hash:long,q:int>>"
+HITS = "doc_id long, tid long, kind int, hash long, p int, words array<struct<kind:tinyint,core:binary>>"
+FOUND = "doc_id long, tid long, item_id long, iid long, n_windows long, share double, same boolean"
+
+
+def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns item_id, iid, text to ITEMS: an item's words and its windows of all readings."""
+    for batch in batches:
+        for part in steps(batch, 2):
+            t = Templates(part.column(2))
+            at: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
+            rows = []
+            for i in range(len(part)):
+                lo, hi = int(t.off[i]), int(t.off[i + 1])
+                width = min(WINDOW, hi - lo)
+                found = []
+                for reading in (0, 1, 2) if width >= LEAST else (1,) if width else ():
+                    if (width, reading) not in at:
+                        at[width, reading] = t.windows(width, reading)
+                    places, hashes = at[width, reading]
+                    a, b = np.searchsorted(places, (lo, hi - width + 1))
+                    for p, h in zip(places[a:b].tolist(), hashes[a:b].view(np.int64).tolist()):
+                        if reading == 1 or (t.kinds[reading][p : p + width] == LITERAL).sum() >= min(LITERALS, width):
+                            found.append({"kind": 4 * width + reading, "hash": h, "q": p - lo})
+                rows.append((width, hi - lo - width + 1, [{"kind": int(t.kind[j]), "core": t.core(j)} for j in range(lo, hi)], found))
+            width, total, words, windows = zip(*rows)
+            kind = pa.list_(pa.struct([("kind", pa.int32()), ("hash", pa.int64()), ("q", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(width, pa.int32()), pa.array(total, pa.int32()), pa.array(words, WORDS), pa.array(windows, kind)], ["item_id", "iid", "width", "total", "words", "windows"])
+
+
+def _hit_rows(shared, kinds: list[int]):
+    """Columns doc_id, tid, text to HITS: windows that the filter lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in steps(batch, 2):
+                t = Templates(part.column(2))
+                for kind in kinds:
+                    at, own = t.windows(kind // 4, kind % 4)
+                    hit = shared.value.passing(own)
+                    if not len(hit):
+                        continue
+                    at, own = at[hit], own[hit]
+                    doc = np.searchsorted(t.off, at, side="right") - 1
+                    words = [[{"kind": int(t.kind[j]), "core": t.core(j)} for j in range(p, p + kind // 4)] for p in at.tolist()]
+                    ids = [part.column(k).take(pa.array(doc)) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*ids, pa.array(np.full(len(at), kind, np.int32)), pa.array(own.view(np.int64)), pa.array((at - t.off[doc]).astype(np.int32)), pa.array(words, WORDS)], ["doc_id", "tid", "kind", "hash", "p", "words"])
+
+    return run
+
+
+def consistent(words: list[dict], windows: list[dict]) -> tuple[int, bool]:
+    """Of the windows on one alignment, those whose words are equal and whose slots contradict none
+    before; and whether all slots have the item's values."""
+    value: dict[tuple[int, bytes], bytes] = {}
+    good, same, seen = 0, True, set()
+    for w in sorted(windows, key=lambda w: w["q"]):
+        if w["q"] in seen:  # by another reading
+            continue
+        seen.add(w["q"])
+        new: dict[tuple[int, bytes], bytes] = {}
+        for item, there in zip(words[w["q"] :], w["words"]):
+            kind, core = item["kind"], item["core"]
+            if core != there["core"] and (kind == LITERAL or kind != there["kind"]):
+                break
+            if kind != LITERAL and value.get((kind, core), new.setdefault((kind, core), there["core"])) != there["core"]:
+                break
+        else:
+            value |= new
+            good += 1
+            same &= all(k[1] == v for k, v in new.items())
+    return good, same
+
+
+def _judged_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns doc_id, tid, item_id, iid, total, words, windows to FOUND."""
+    names = [f.split()[0] for f in FOUND.split(", ")]
+    for batch in batches:
+        total = batch.column(4).to_pylist()
+        judged = [consistent(words, windows) for words, windows in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())]
+        enough = [i for i, (good, _) in enumerate(judged) if good >= min(ENOUGH, -(-total[i] // 2))]
+        if enough:
+            at = pa.array(enough)
+            made = [pa.array([judged[i][0] for i in enough], pa.int64()), pa.array([judged[i][0] / total[i] for i in enough]), pa.array([judged[i][1] for i in enough])]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(4)], *made], names)
+
+
+def _filter(windows: DataFrame) -> Filter:
+    """A filter of all hashes; they come to the driver batch by batch."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([np.asarray(batch.column(0)).tobytes()], pa.binary())], ["h"])
+
+    out = Filter(windows.count())
+    for row in windows.select("hash").mapInArrow(pack, "h binary").toLocalIterator():
+        out.add(np.frombuffer(row["h"], np.uint64))
+    return out
+
+
+def _found(df: DataFrame, benchmark: DataFrame, text: str, doc_id: str, scratch: Scratch) -> DataFrame:
+    """FOUND, one row for each document id, text and item."""
+    spark = df.sparkSession
+    body = quoted(text).cast("string")
+    asked = benchmark.select(quoted("item_id").cast("long").alias("item_id"), F.xxhash64(quoted("text")).alias("iid"), quoted("text").cast("string").alias("text")).where("item_id is not null").dropDuplicates(["item_id", "iid"])
+    items = scratch.cut(asked.mapInArrow(_item_rows, ITEMS), "items")
+    windows = scratch.cut(items.select("item_id", "iid", F.explode("windows").alias("w")).select("w.kind", "w.hash", "item_id", "iid", "w.q"), "windows")
+    kinds = sorted(r["kind"] for r in windows.select("kind").distinct().collect())  # a few widths and readings
+    sent = spark.sparkContext.broadcast(_filter(windows))  # bound: FILTER_BITS
+    plain = df.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("tid"), body.alias("text"))
+    hits = plain.mapInArrow(_hit_rows(sent, kinds), HITS)
+    met = hits.join(windows, ["kind", "hash"]).withColumn("shift", F.col("p") - F.col("q"))
+    lines = met.groupBy("doc_id", "tid", "item_id", "iid", "shift").agg(F.collect_list(F.struct("q", "words")).alias("windows"))
+    both = lines.join(items.select("item_id", "iid", "total", F.col("words").alias("own")), ["item_id", "iid"])
+    judged = both.select("doc_id", "tid", "item_id", "iid", "total", "own", "windows").mapInArrow(_judged_rows, FOUND)
+    best = judged.groupBy("doc_id", "tid", "item_id", "iid").agg(F.max(F.struct("n_windows", "share", "same")).alias("b"))
+    return best.select("doc_id", "tid", "item_id", "iid", "b.*")
 
 
 def found(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, item_id, n_windows, share, same): the items found in each document.
+    """(doc_id, item_id, n_windows, share, same): the items (item_id, text) found in each document.
 
     same: whether the numbers, names and units are those of the item.
     """
-    spark = df.sparkSession
-    bound_batches(spark)
-    plain = df.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
-
-    def scan(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in steps(batch, 1):
-                    hits = list(shared.value.search(Templates(part.column(1))))
-                    if hits:
-                        doc, item, n, share, same = zip(*hits)
-                        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array([shared.value.ids[i] for i in item], pa.int64()), pa.array(n, pa.int64()), pa.array(share), pa.array(same)], ["doc_id", "item_id", "n_windows", "share", "same"])
-
-        return run
-
-    out = None
-    for index in blocks(benchmark):
-        part = plain.mapInArrow(scan(spark.sparkContext.broadcast(index)), "doc_id long, item_id long, n_windows long, share double, same boolean")
-        out = part if out is None else out.union(part)
-    return out
+    return _found(df, benchmark, text, doc_id, Scratch(df.sparkSession, "decontam")).select("doc_id", "item_id", "n_windows", "share", "same")
 
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of df in whose document no item was found."""
-    bad = found(df, benchmark, text, doc_id).select(F.col("doc_id").alias("bad_id")).distinct()
-    return df.join(bad, quoted(doc_id).cast("long") == bad.bad_id, "left_anti")
+    """The rows of df in whose document no item was found. Rows without an id are judged by text."""
+    scratch = Scratch(df.sparkSession, "decontam")
+    key = lambda i, t: F.coalesce(i.cast("string"), F.concat(F.lit("text "), t.cast("string")))
+    bad = _found(df, benchmark, text, doc_id, scratch).select(key(F.col("doc_id"), F.col("tid")).alias("bad_key")).distinct()
+    bad = scratch.cut(bad, "bad")  # ids only; as a written table its size is known to the planner
+    return df.join(bad, key(quoted(doc_id).cast("long"), F.xxhash64(quoted(text).cast("string"))) == bad.bad_key, "left_anti")

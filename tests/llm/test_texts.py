@@ -344,13 +344,85 @@ def test_decontam_copies_and_templates(spark):
     assert decontam.found(docs(spark, rows), bench.limit(0)).count() == 0
 
 
-def test_decontam_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(decontam.blocks, "__defaults__", ("item_id", "text", 2))
+def test_decontam_of_many_items_through_a_full_filter(spark, monkeypatch):
+    """A filter that is far too small lets windows through and changes nothing."""
+    monkeypatch.setattr(decontam, "FILTER_BITS", 1)
     rng = random.Random(4)
-    items = [(i, " ".join(words(rng, 20, 10000))) for i in range(7)]
-    rows = [(i, f"x {t} y") for i, t in items] + [(100 + i, " ".join(words(rng, 50, 10000))) for i in range(20)]
+    items = [(i, " ".join(words(rng, 40, 10000))) for i in range(400)]
+    rows = [(i, f"x {t} y") for i, t in items] + [(1000 + i, " ".join(words(rng, 500, 10000))) for i in range(20)]
     got = {(r.doc_id, r.item_id) for r in decontam.found(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
-    assert got == {(i, i) for i in range(7)}
+    assert got == {(i, i) for i, _ in items}
+
+
+def template(text):
+    """(kind, core) of each word under both readings, written apart from the operator."""
+    out, first = [], True
+    for raw in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        core = re.sub(r"^[\W_]+|[\W_]+$", "", raw)
+        if core:
+            kind = decontam.describe(raw.encode())[1]
+            name = kind == decontam.LITERAL and core[0].isupper()
+            out.append((core.lower(), decontam.NAME if name else kind, decontam.NAME if name and not first else kind))
+        first = raw.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":")
+    return out
+
+
+def brute_found(item, text):
+    """Every alignment of an item with a text, window by window."""
+    a, b = template(item), template(text)
+    width = min(decontam.WINDOW, len(a))
+    total = len(a) - width + 1
+    best = None
+    for shift in range(-len(a) + 1, len(b)) if a else ():
+        value, good, same = {}, 0, True
+        for q in range(total):
+            p = q + shift
+            if p < 0 or p + width > len(b):
+                continue
+            own, there = a[q : q + width], b[p : p + width]
+            plain = [x[0] for x in own] == [x[0] for x in there]
+            form = lambda w, k: [x[0] if x[k] == decontam.LITERAL else x[k] for x in w]
+            able = lambda k: sum(x[k] == decontam.LITERAL for x in own) >= min(decontam.LITERALS, width)
+            if not (plain or width >= decontam.LEAST and any(able(k) and form(own, k) == form(there, k) for k in (1, 2))):
+                continue
+            new, fits = {}, True
+            for x, y in zip(own, there):
+                fits &= x[0] == y[0] or (x[1] != decontam.LITERAL and x[1] == y[1])
+                if x[1] != decontam.LITERAL:
+                    fits &= value.get(x[:2], new.setdefault(x[:2], y[0])) == y[0]
+            if fits:
+                value |= new
+                good += 1
+                same &= all(k[0] == v for k, v in new.items())
+        if good >= min(decontam.ENOUGH, -(-total // 2)) and total > 0:
+            best = max(best or (0,), (good, good / total, same))
+    return best
+
+
+def test_decontam_equals_brute_force(spark):
+    """Items with repeated and exchanged names, numbers and units, in texts with edits."""
+    rng = random.Random(21)
+    pool = "the a of buys sells apples walks home each day with and how many does pay for tells asks left".split()
+    def phrase(n):
+        return " ".join(rng.choice([*pool, "Anna", "Bob", "12", "7", "km", "days", "5kg", "$3"]) + rng.choice(["", "", "", ".", ",", "?"]) for _ in range(n))
+    items = [(i, phrase(rng.choice([0, 2, 4, 7, 8, 9, 14, 25, 40]))) for i in range(40)] + [(50, None), (51, "Anna " * 12), (None, phrase(20))]
+    rows = [(0, None), (1, "")]
+    for i in range(2, 120):
+        parts = [phrase(rng.randrange(12))]
+        for _, t in rng.sample(items[:40], rng.randrange(3)):
+            for old, new in rng.sample([("Anna", "Eve"), ("12", "13"), ("Bob", "Anna"), ("km", "miles"), ("home", "away"), ("7", "7")], rng.randrange(4)):
+                t = t.replace(old, new)
+            parts += [t, phrase(rng.randrange(6))]
+        rows.append((i, " ".join(parts)))
+    rows += [(3, rows[3][1]), (None, items[38][1] or "x"), (None, "clean words only")]
+    df = docs(spark, rows).selectExpr("*", "1 AS item_id", "2 AS kind", "'h' AS hash")
+    bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "3 AS doc_id")
+    got = {(r.doc_id, r.item_id): (r.n_windows, r.share, r.same) for r in decontam.found(df, bench).collect()}
+    want = {(d, i): best for d, text in rows for i, item in items if i is not None and (best := brute_found(item, text))}
+    assert got == want and len(want) > 40 and 0 < sum(not same for _, _, same in want.values())
+    left = decontam.clean(df, bench)
+    bad = {(d if d is not None else text) for d, text in rows if any(k[0] == d and (d is not None or brute_found(dict(items)[k[1]], text)) for k in want)}
+    assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == sorted(str(d) for d, text in rows if (d if d is not None else text) not in bad)
 
 
 def test_decontam_finds_every_exact_copy(spark):
