@@ -207,10 +207,10 @@ def components(df: DataFrame, distance: int = 3, text: str = "text", doc_id: str
 
 
 def dedupe(df: DataFrame, distance: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of df whose document has the smallest id of its component."""
-    gone = components(df, distance, text, doc_id).where("not (doc_id <=> component_id)").select(F.col("doc_id").alias("gone_id"))
-    gone = Scratch(df.sparkSession, "simhash-dedupe").cut(gone.distinct(), "gone")
-    return df.join(gone, quoted(doc_id).eqNullSafe(gone.gone_id), "left_anti")
+    """The rows of df whose document has the smallest id of its component; rows without an id stay."""
+    gone = components(df, distance, text, doc_id).where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = Scratch(df.sparkSession, "simhash").cut(gone, "gone")  # ids only; the planner knows its size
+    return df.join(gone, quoted(doc_id) == gone.gone_id, "left_anti")
 
 
 def digests(df: DataFrame) -> DataFrame:

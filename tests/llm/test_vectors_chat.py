@@ -45,12 +45,28 @@ def test_lattice_links(spark, monkeypatch):
     np.fill_diagonal(close, False)
     true, found = close.sum(1), np.array([got[int(i)].n_links for i in ids])
     assert (found <= true).all() and found.sum() >= 0.95 * true.sum() and len(got) == len(rows)
+    # Components: all links that brute force knows, but for those that no table met.
+    root = {int(i): int(i) for i in ids}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in zip(*np.nonzero(close)):
+        a, b = sorted((find(int(ids[a])), find(int(ids[b]))))
+        root[b] = a
+    assert sum(got[i].component_id == find(i) for i in root) >= 0.98 * len(root)
+    assert all(find(got[i].component_id) == find(i) for i in root) and len({find(i) for i in root}) > 30
     for i in (600, 601, 602, 603, 604, 605, 606):
         assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
     assert lattice.link(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_lattice_repeated_ids_and_clashing_columns(spark):
+    """Copies of a vector, also under one id, link with each other; extra columns change nothing."""
+    v, w = [1.0, 2.0, 3.0], [-3.0, 0.0, 1.0]
+    df = spark.createDataFrame([(1, v), (1, v), (2, v), (3, w), (None, w), (4, [-0.0, 0.0, 1e-30]), (5, [0.0, -0.0, 1e30])], "vec_id long, embedding array<double>")
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in lattice.link(df.selectExpr("*", "1 AS rep", "2 AS cell", "3 AS links", "4 AS good")).collect()), key=str)
+    assert got == sorted([(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 1, 3), (None, 1, 3), (4, 1, 4), (5, 1, 4)], key=str)
+
+
 def test_lattice_recall_at_threshold():
     """Pairs at a cosine of exactly 0.9 meet in some table, by the one plan of every size."""
     assert not hasattr(lattice, "plan")
@@ -175,6 +191,14 @@ def test_jaccard_equals_brute_force(spark, monkeypatch):
     assert jaccard.dedupe(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_jaccard_null_ids_and_clashing_columns(spark):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (None, "alone one two three four"), (4, "a b c d e f"), (5, None), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS name", "2 AS cells", "3 AS component_id")
+    got = sorted(((r.doc_id, r.component_id) for r in jaccard.components(df).collect()), key=str)
+    assert got == sorted([(None, 4), (None, 4), (None, None), (4, 4), (5, 5), (6, 5)], key=str)
+    assert jaccard.dedupe(df).columns == df.columns and sorted(str(r.doc_id) for r in jaccard.dedupe(df).collect()) == ["4", "5", "None", "None", "None"]
+
+
 def test_pipeline_drops_near_copies(spark):
     """A copy with words changed at 0.8 or above goes, one below it stays."""
     rng = random.Random(12)
