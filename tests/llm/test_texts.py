@@ -236,6 +236,8 @@ def least_matches(pattern):
                 new += [chr(x) for kind, x in arg[1:] if kind is c.LITERAL]
             elif op is c.CATEGORY:
                 new = ["7"]
+            elif op is c.ANY:
+                new = ["w"]
             elif op is c.MAX_REPEAT:
                 new = [x * arg[0] for x in texts(arg[2])] if arg[0] else [""]
             elif op is c.SUBPATTERN:
@@ -251,20 +253,45 @@ def least_matches(pattern):
 
 
 def test_license_rules_contain_root_and_keyword():
-    for label, keyword, pattern, _ in license_scan.rules():
-        for text in least_matches(pattern):
-            assert keyword in text and any(root in text for root in license_scan.ROOTS), (label, keyword, text)
+    for r in license_scan.rules():
+        for text in least_matches(r.pattern):
+            assert r.keyword in f" {text} " and any(root in text for root in license_scan.ROOTS), (r, text)
 
 
 def test_license_each_rule_alone(spark):
     """A least match of a rule, alone in a text, is found with at least the rule's confidence."""
-    least = {i: least_matches(pattern)[0] for i, (_, _, pattern, _) in enumerate(license_scan.rules())}
+    least = {i: least_matches(r.pattern)[0] for i, r in enumerate(license_scan.rules())}
     rows = [*least.items(), (9000, "available under a Creative Commons Attribution 4.0 International license"), (9001, "Permission is hereby granted, free of charge, to any person obtaining a copy"), (9002, "Proprietary and confidential."), (9003, "available under Apache 2.0")]
     got = {r.doc_id: r for r in license_scan.digests(docs(spark, rows)).collect()}
     assert not [(i, text) for i, text in least.items() if not got[i].labels or not got[i].score]
     assert [got[i].labels for i in range(9000, 9004)] == ["cc-by-4.0", "mit", "proprietary", "apache-2.0"]
 
 
+def brute_detections(text):
+    """All matches of all rules, then suppression by definition."""
+    upper = {i: i + 32 for i in range(65, 91)}
+    line = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(upper))) + " "
+    hits = []
+    for rank, r in enumerate(license_scan.rules()):
+        for m in re.finditer(f"(?<= )(?:{r.pattern})(?= )", line):
+            start = line[: m.start()].count(" ") - 1
+            hits.append((start, start + m[0].count(" ") + 1, rank, r))
+    inside = lambda x, y: y[3].priority <= x[3].priority and y[0] <= x[0] and x[1] <= y[1] and ((y[0], y[1]) != (x[0], x[1]) or y[2] < x[2])
+    return sorted((x[0], x[1], x[3].label, x[3].confidence) for x in hits if not any(inside(x, y) for y in hits))
+
+
+def test_license_equals_brute_force(spark):
+    """Texts of matches in random order, of words between them, a very long one, clashing columns."""
+    rng = random.Random(17)
+    least = [t for r in license_scan.rules() for t in least_matches(r.pattern)[:3]]
+    rows = [(0, None), (1, ""), (2, "Copyright (c) 2020 by mit license all rights reserved"), (3, "MIT License " * 1500)]
+    rows += [(i, rng.choice([" ", ", ", " and "]).join(rng.choice([*least, "v 2 0", "or later", "the", "license", "Version 3"]) for _ in range(rng.randrange(1, 40)))) for i in range(4, 120)]
+    df = docs(spark, rows).selectExpr("*", "1 AS base", "2 AS detections", "3 AS n_words", "4 AS line")
+    for r in license_scan.scan(df).collect():
+        assert [tuple(x) for x in r.detections] == brute_detections(r.text), r.text
+        assert r.line == 4
+
+
 # Language model
 
 
