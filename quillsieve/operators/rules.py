@@ -279,7 +279,7 @@ def _sum(values: list[Column]) -> Column:
 
 def foreign(df: DataFrame) -> Column:
     """Whether an article's language isn't allowed."""
-    whole = F.concat_ws(" ", "title", "description", "articleText", "postedBy", "newsLink")
+    whole = F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in ("title", "description", "articleText", "postedBy", "newsLink")])
     return whole.rlike(DEVANAGARI) | F.lower(whole).rlike(r"(?<![a-z0-9_])news in hindi(?![a-z0-9_])") | F.contains(F.lower(whole), F.lit("amarujala.com"))
 
 

@@ -161,12 +161,6 @@ def f13_payload(spark, sf_dir):
     return articles.payload(as_articles(spark, sf_dir), F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp"))
 
 
-@query(f"SELECT page_id, lower(title) || ' ' AS primary_text, lower(title) || '   ' || lower(newsLink) AS search_text, lower(title) || ' ' || lower(newsLink) AS title_url, 0 AS priority FROM {SQL_ARTICLES}")
-def f15_views(spark, sf_dir):
-    v = articles.views()
-    return as_articles(spark, sf_dir).select("page_id", v["primary"].alias("primary_text"), v["search"].alias("search_text"), v["title_url"].alias("title_url"), articles.priority().alias("priority"))
-
-
 _SHAPES = "CASE o_orderpriority WHEN '1-URGENT' THEN {0} WHEN '2-HIGH' THEN {1} WHEN '3-MEDIUM' THEN {2} WHEN '5-LOW' THEN {4} ELSE {3} END"
 
 
@@ -206,39 +200,6 @@ def p4_strong_match(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", ((n["north"] >= 1) & (n["north"] == n["north"] + n["south"] + n["west"])).alias("strong"))
 
 
-@query(f"SELECT doc_id, {SQL_LABEL} AS label FROM documents")
-def r25_label(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", label("text").alias("label"))
-
-
-_WHY = [("short", "coalesce(n_chars, 0) < 500"), ("bad word", sql_word("text", BAD)), ("no good word", f"NOT {sql_word('text', GOOD)}"), ("no language", "lang IS NULL")]
-SQL_WHY = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _WHY) + "], lambda x: x IS NOT NULL)"
-
-
-def with_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    x = lower("text")
-    listed = [(F.coalesce("n_chars", F.lit(0)) < 500), t.any_word(x, BAD), ~t.any_word(x, GOOD), F.col("lang").isNull()]
-    return table(spark, sf_dir, "documents").withColumn("reasons", F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, (n, _) in zip(listed, _WHY)])))
-
-
-@query(f"SELECT doc_id, array_to_string({SQL_WHY}, '; ') AS reasons FROM documents")
-def r26_reasons(spark, sf_dir):
-    return with_reasons(spark, sf_dir).select("doc_id", F.array_join("reasons", "; ").alias("reasons"))
-
-
-@query(f"SELECT doc_id FROM documents WHERE len({SQL_WHY}) = 0")
-def w7_publishable(spark, sf_dir):
-    return with_reasons(spark, sf_dir).where(F.size("reasons") == 0).select("doc_id")
-
-
-@query()
-def r_rules(spark, sf_dir):
-    """All rules, routing and reasons with documents as articles."""
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), F.col("source").alias("title"), F.col("text").alias("articleText"), F.concat(F.lit("https://example.com/"), F.col("source")).alias("newsLink"))
-    out = route.fan_out(route.assign(articles.ensure(d), rules.Pack.default()), rules.Pack.default())
-    return out.select("seq", "cityCode", F.col("rules.label").alias("label"), F.array_join(rules.reasons(F.lit(False)), "; ").alias("reasons"))
-
-
 SQL_DEEP = "regexp_extract(url, '^[a-z]+://(?:www[.])?([^?#]*?)/*(?:[?#].*)?$', 1)"
 
 
@@ -314,17 +275,6 @@ def j7_enrich(spark, sf_dir):
     return table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.coalesce("c_mktsegment", "o_orderstatus").alias("told"))
 
 
-SQL_CODES = "list_filter([" + ", ".join(f"CASE WHEN {sql_word('text', v)} THEN '{k}' END" for k, v in PLACES.items()) + "], lambda x: x IS NOT NULL)"
-
-
-@query(f"WITH d AS (SELECT doc_id, {SQL_CODES} AS codes FROM documents) SELECT doc_id, code, len(codes) > 1 AS shared FROM d, unnest(CASE WHEN len(codes) = 0 THEN [''] ELSE codes END) AS u(code)")
-def t1_fan_out(spark, sf_dir):
-    """A row for each city; the row itself without one."""
-    hits = F.array_compact(F.array(*[F.when(t.any_word(lower("text"), v), F.lit(k)) for k, v in PLACES.items()]))
-    d = table(spark, sf_dir, "documents").select("doc_id", hits.alias("codes"))
-    return d.select("doc_id", F.explode_outer("codes").alias("code"), (F.size("codes") > 1).alias("shared")).withColumn("code", F.coalesce("code", F.lit("")))
-
-
 @query()
 def t3_greedy_unique(spark, sf_dir):
     """Greedy dedupe of documents by text and by normalised text."""
@@ -384,11 +334,6 @@ def t14_union(spark, sf_dir):
     return s.unionByName(table(spark, sf_dir, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name")))
 
 
-@query(f"SELECT reason, count(*) AS n FROM (SELECT unnest({SQL_WHY}) AS reason FROM documents) GROUP BY 1")
-def a1_reason_counts(spark, sf_dir):
-    return audit.reason_counts(with_reasons(spark, sf_dir))
-
-
 @query("SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def a2_category_counts(spark, sf_dir):
     return audit.category_counts(table(spark, sf_dir, "orders"), "o_orderpriority")
