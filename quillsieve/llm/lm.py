@@ -1,8 +1,8 @@
 """Language-model scores: a unigram base and a gated recurrent model.
 
 Counts. A first pass counts the words of all training documents (each slice of texts aggregates
-its own before the shuffle). The FREQUENT most frequent words, by these exact counts, go to every
-task; a second pass writes each document as two bytes a word, which is what the model reads, and
+its own before the shuffle). The most frequent words by these exact counts, up to FREQUENT, go to
+every task; a second pass writes each document as two bytes a word, which is what the model reads, and
 (word, document) rows of the other words, to which their counts are joined. No table of all words
 is held anywhere, and every count covers all training documents.
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.arrays import Words, binary, bounds, quoted, steps
+from quillsieve.llm.arrays import Words, binary, bounds, quoted, ragged, steps
 from quillsieve.llm.tables import Scratch
 
 #: At most RARE words, as a place takes two bytes.
@@ -38,6 +38,9 @@ FREQUENT = RARE = 65_535
 #: Names of the network's words: a power of two from LEAST_WORDS to MOST_WORDS, by training tokens.
 LEAST_WORDS, MOST_WORDS = 256, 2048
 CLASSES, HIDDEN = 32, 24
+#: Tokens after which the state starts anew while learning (never while scoring), so that a long
+#: document fills many lanes.
+STRETCH = 2048
 #: Weights in a row of the rows that are averaged.
 PART = 4096
 WINDOW, RATE, MOST_LANES, LARGEST, UPDATES = 32, 0.02, 512, 5, 100
@@ -161,10 +164,15 @@ class Network:
         out = np.zeros(total, np.float32)
         if not total:
             return out
-        fit = total // max(1, sizes.max())
+        heads = np.cumsum(sizes) - sizes
+        starts = heads
+        if learn:
+            pieces = -(-sizes // STRETCH)
+            place = ragged(np.zeros(len(sizes), np.int64), pieces)
+            starts = np.repeat(heads, pieces) + STRETCH * place
+            sizes = np.minimum(np.repeat(sizes, pieces) - STRETCH * place, STRETCH)
         # Learning needs windows one after the other: few documents take fewer lanes.
-        count = int(np.clip(min(fit, total // (WINDOW * UPDATES)), 4, MOST_LANES) if learn else np.clip(fit, 16, MOST_LANES))
-        starts = np.cumsum(sizes) - sizes
+        count = int(np.clip(total // (WINDOW * UPDATES if learn else 1024), 4 if learn else 16, MOST_LANES))
         load = [(0, i) for i in range(min(count, len(sizes)))]
         parts: list[list[int]] = [[] for _ in load]
         for d in np.argsort(-sizes, kind="stable").tolist():
@@ -181,7 +189,7 @@ class Network:
         first[starts] = True
         previous = np.empty(total, np.int64)
         previous[1:], previous[0] = names[:-1], END
-        previous[first] = END
+        previous[heads] = END
         h = np.zeros((len(tokens), n), np.float32)
         active = np.searchsorted(-lens, -np.arange(len(at))).tolist()  # lanes with a token left
         for lo in range(0, len(at), WINDOW):
@@ -335,6 +343,22 @@ def _score_rows(shared, weights):
     return run
 
 
+def _frequent(counts: DataFrame) -> list:
+    """The words whose counts are the highest, at most FREQUENT: all words of the highest buckets of
+    the logarithm of counts that fit together. Nothing else reaches the driver."""
+    bucket = F.floor(F.log2("c") * 64)
+    sizes = counts.groupBy(bucket.alias("b")).count().collect()  # a few thousand rows at most
+    least, room = None, FREQUENT
+    for row in sorted(sizes, key=lambda r: -r["b"]):
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["b"]
+    if least is None:
+        return []
+    return sorted(counts.where(bucket >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
+
+
 def network_words(tokens: int) -> int:
     """The power of two next to the square root of the tokens, within the bounds."""
     return int(np.clip(2 ** round(np.log2(max(1, tokens)) / 2), LEAST_WORDS, MOST_WORDS))
@@ -347,7 +371,7 @@ def scores(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFra
     docs = df.select(quoted(doc_id).cast("long").alias("doc_id"), F.xxhash64(quoted(text)).alias("tid"), held_out(doc_id).alias("held_out"), quoted(text).cast("string").alias("text"))
     train = docs.where("not held_out")
     counts = scratch.cut(train.select("text").mapInArrow(_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).collect()  # bound: FREQUENT rows
+    top = _frequent(counts)
     usual = np.array([row["c"] for row in top], np.int64)
     ends = train.select("held_out").count()
     seen = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
