@@ -1,7 +1,9 @@
 """What is read from an HTML page: title, main text, description, dates, image, links, cards.
 
 Pages are parsed by the standard library's parser inside one Arrow batch function; only scalars
-leave it. Elements are found by tag, id, class and attribute tests. The main text is taken after
+leave it, and only those that are asked for. A page is walked once, and once more after page
+furniture is gone; what an element lies in is noted when it is made. A page that can't be parsed
+is a null and ends nothing. Elements are found by tag, id, class and attribute tests. The main text is taken after
 elements of page furniture are removed; ``strip_before_metadata`` says whether images and dates
 are then looked for in what is left (as the pipeline does) or in the whole page.
 """
@@ -10,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +26,7 @@ from quillsieve.functions.wordlists import REJECTED_IMAGES
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript"}
-CLOSES = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+CLOSES = {"a": {"a"}, "p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
 #: Tags and parts of class names and ids that are removed before the main text is taken.
 FURNITURE_TAGS = {"script", "style", "noscript", "nav", "header", "footer", "aside", "form", "button", "iframe"}
 FURNITURE_CLASSES = ("related", "recommend", "trending", "popular", "sidebar", "share", "social", "comment")
@@ -37,44 +39,51 @@ _SPACE = re.compile(r"[\s﻿]+")
 _ENTITIES = [("nbsp", " "), ("amp", "&"), ("quot", '"'), ("apos", "'"), ("rsquo", "'"), ("lsquo", "'"), ("rdquo", '"'), ("ldquo", '"'), ("ndash", "-"), ("mdash", "-"), ("#39", "'")]
 
 
+#: What an element can lie in, as bits.
+IN_ARTICLE, IN_MAIN, IN_FIGURE, IN_ARTICLE_CLASS, IN_STORY_CLASS, IN_CONTENT_CLASS = (1 << k for k in range(6))
+_TAG_BITS = {"article": IN_ARTICLE, "main": IN_MAIN, "figure": IN_FIGURE}
+_CLASS_BITS = {"article": IN_ARTICLE_CLASS, "story": IN_STORY_CLASS, "content": IN_CONTENT_CLASS}
+#: Characters, blanks apart, that the text of a link or of the box around it is made from.
+NEAR_CHARS, NEAR = 24_000, 3000
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "inside")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        self.inside = parent.inside | parent.bits() if parent else 0
+
+    def bits(self) -> int:
+        """What an element in this one lies in because of it."""
+        cls = self.get("class")
+        return _TAG_BITS.get(self.tag, 0) | (sum(b for w, b in _CLASS_BITS.items() if w in cls) if cls else 0)
 
-    def walk(self) -> Iterator[Node]:
+    def walk(self) -> list[Node]:
         """Elements below, in document order; no recursion, so depth has no limit."""
-        stack = [iter(self.children)]
+        out: list[Node] = []
+        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
         while stack:
-            for child in stack[-1]:
-                if isinstance(child, Node):
-                    yield child
-                    stack.append(iter(child.children))
-                    break
-            else:
-                stack.pop()
+            n = stack.pop()
+            out.append(n)
+            stack.extend(c for c in reversed(n.children) if isinstance(c, Node))
+        return out
 
-    def text(self) -> str:
+    def text(self, most: int | None = None) -> str:
+        """The text within; with ``most`` only until so many characters, blanks apart, are there."""
         out: list[str] = []
         stack: list[Node | str] = [self]
-        while stack:
+        while stack and (most is None or most > 0):
             x = stack.pop()
             if isinstance(x, str):
                 out.append(x)
+                if most is not None:
+                    most -= len(x) - x.count(" ")
             else:
                 stack.extend(reversed(x.children))
         return "".join(out)
 
-    def within(self, test: Callable[[Node], bool]) -> bool:
-        up = self.parent
-        while up is not None:
-            if test(up):
-                return True
-            up = up.parent
-        return False
-
     def get(self, name: str) -> str:
         return self.attrs.get(name, "")
 
@@ -125,17 +134,30 @@ def first_text(*values: str | None) -> str:
     return next((v.strip() for v in values if v and v.strip()), "")
 
 
-def meta(root: Node, key: str, value: str) -> str:
-    return next((n.get("content") for n in root.walk() if n.tag == "meta" and n.get(key) == value), "")
+class Page:
+    """A parsed page with its elements in order and by tag."""
+
+    def __init__(self, root: Node):
+        self.root, self.nodes = root, root.walk()
+        self.by_tag: dict[str, list[Node]] = {}
+        self.metas: dict[tuple[str, str], str] = {}
+        for n in self.nodes:
+            self.by_tag.setdefault(n.tag, []).append(n)
+            if n.tag == "meta":
+                for key in ("property", "name", "itemprop"):
+                    if key in n.attrs:
+                        self.metas.setdefault((key, n.attrs[key]), n.get("content"))
 
+    def meta(self, key: str, value: str) -> str:
+        return self.metas.get((key, value), "")
 
-def of_tag(root: Node, *tags: str) -> list[Node]:
-    return [n for n in root.walk() if n.tag in tags]
+    def of(self, tag: str) -> list[Node]:
+        return self.by_tag.get(tag, [])
 
 
-def title(root: Node) -> str:
-    h1 = next((n.text() for n in root.walk() if n.tag == "h1"), "")
-    found = first_text(meta(root, "property", "og:title"), meta(root, "name", "twitter:title"), h1, "".join(n.text() for n in of_tag(root, "title")))
+def title(page: Page) -> str:
+    h1 = next((n.text() for n in page.of("h1")), "")
+    found = first_text(page.meta("property", "og:title"), page.meta("name", "twitter:title"), h1, "".join(n.text() for n in page.of("title")))
     return re.sub(r"\s+[|-]\s+.*$", "", squeeze(found))
 
 
@@ -151,25 +173,23 @@ def strip_furniture(root: Node) -> None:
         stack.extend(c for c in n.children if isinstance(c, Node))
 
 
-def main_text(root: Node) -> str:
+def main_text(page: Page) -> str:
     """The longest text of the article-like containers; else all paragraphs."""
-    article, main = (lambda n: n.tag == "article"), (lambda n: n.tag == "main")
-    part = lambda up, word: lambda n: word in n.get("class") and n.within(up)
-    tests = [part(article, w) for w in ("story", "article", "content")]
-    tests += [article, lambda n: n.tag == "article" and n.within(main)]
-    tests += [part(main, w) for w in ("story", "article", "content")]
-    nodes = list(root.walk())
+    part = lambda bit, word: lambda n: n.inside & bit and word in n.get("class")
+    tests = [part(IN_ARTICLE, w) for w in ("story", "article", "content")]
+    tests += [lambda n: n.tag == "article", lambda n: n.tag == "article" and n.inside & IN_MAIN]
+    tests += [part(IN_MAIN, w) for w in ("story", "article", "content")]
     best = ""
     for test in tests:
-        found = squeeze("".join(n.text() for n in nodes if test(n)))
+        found = squeeze("".join(n.text() for n in page.nodes if test(n)))
         if len(found) >= LEAST_TEXT and len(found) > len(best):
             best = found
-    return (best or squeeze(" ".join(n.text() for n in nodes if n.tag == "p")))[:MOST_TEXT]
+    return (best or squeeze(" ".join(n.text() for n in page.of("p"))))[:MOST_TEXT]
 
 
-def structured(root: Node) -> list:
+def structured(page: Page) -> list:
     out = []
-    for n in of_tag(root, "script"):
+    for n in page.of("script"):
         if n.get("type") == "application/ld+json":
             try:
                 out.append(json.loads(n.text()))
@@ -216,41 +236,55 @@ def rejected(value: str) -> bool:
     return not value or value.lower().startswith("data:") or bool(_REJECTED.search(value))
 
 
-def page_image(root: Node) -> str:
-    img = lambda n: n.tag == "img"
-    cls = lambda word: lambda n: img(n) and n.within(lambda u: word in u.get("class"))
-    tests = [lambda n: n.get("id") == "zoom_class", lambda n: img(n) and "story image" in n.get("alt").lower(), lambda n: img(n) and "zoom" in n.get("class").lower()]
-    tests += [lambda n, t=t: img(n) and n.within(lambda u: u.tag == t) for t in ("article", "main")]
-    tests += [cls(w) for w in ("article", "story", "content")]
-    tests += [lambda n: img(n) and n.within(lambda u: u.tag == "figure"), img]
-    nodes = list(root.walk())
-    for test in tests:
-        for n in nodes:
-            if test(n) and not rejected(found := image_of(n)):
-                return found
-    return ""
+def page_image(page: Page) -> str:
+    images = page.of("img")
+    within = lambda bit: [n for n in images if n.inside & bit]
+    groups = [
+        [n for n in page.nodes if n.get("id") == "zoom_class"],
+        [n for n in images if "story image" in n.get("alt").lower()],
+        [n for n in images if "zoom" in n.get("class").lower()],
+        *[within(bit) for bit in (IN_ARTICLE, IN_MAIN, IN_ARTICLE_CLASS, IN_STORY_CLASS, IN_CONTENT_CLASS, IN_FIGURE)],
+        images,
+    ]
+    return next((found for group in groups for n in group if not rejected(found := image_of(n))), "")
 
 
-def image(root: Node, fallback: str = "") -> str:
+def image(page: Page, fallback: str = "") -> str:
     """A page's image: in the page, in structured data, in its metadata, the fallback."""
-    data = next((i for v in structured(root) if (i := structured_image(v))), "")
-    named = [meta(root, "property", "og:image:secure_url"), meta(root, "property", "og:image"), meta(root, "name", "twitter:image"), meta(root, "name", "twitter:image:src"), meta(root, "itemprop", "image")]
-    return first_text(page_image(root), *[x for x in [data, *named, fallback] if x and not rejected(x)])
+    data = next((i for v in structured(page) if (i := structured_image(v))), "")
+    named = [page.meta("property", "og:image:secure_url"), page.meta("property", "og:image"), page.meta("name", "twitter:image"), page.meta("name", "twitter:image:src"), page.meta("itemprop", "image")]
+    return first_text(page_image(page), *[x for x in [data, *named, fallback] if x and not rejected(x)])
 
 
-def date_texts(root: Node) -> list[str]:
+def date_texts(page: Page) -> list[str]:
     """Texts to look for the publication date in, best first; the first that holds one counts."""
-    nodes = list(root.walk())
-    attr = lambda test, name: next((n.get(name) for n in nodes if test(n)), "")
-    found = [meta(root, "property", "article:published_time"), *[meta(root, "name", k) for k in ("publish-date", "pubdate", "date")]]
+    attr = lambda test, name: next((n.get(name) for n in page.nodes if test(n)), "")
+    found = [page.meta("property", "article:published_time"), *[page.meta("name", k) for k in ("publish-date", "pubdate", "date")]]
     found.append(attr(lambda n: n.get("itemprop") == "datePublished", "content"))
     found.append(attr(lambda n: n.tag == "time" and "datetime" in n.attrs, "datetime"))
-    found += [d for v in structured(root) for d in structured_dates(v)]
-    found.append(next((n.text() for n in nodes if n.tag in ("article", "main")), "")[:1500])
-    found.append(next((n.text() for n in nodes if n.tag == "body"), "")[:3000])
+    found += [d for v in structured(page) for d in structured_dates(v)]
+    found.append(next((n.text() for n in page.nodes if n.tag in ("article", "main")), "")[:1500])
+    found.append(next((n.text() for n in page.of("body")), "")[:3000])
     return [x for x in found if x.strip()]
 
 
+def links(page: Page) -> list[dict]:
+    """Links with their text, the text of the box around them and a picture. Each box is read once."""
+    boxes: dict[int, str] = {}
+    out = []
+    for n in page.of("a"):
+        if "href" not in n.attrs:
+            continue
+        box: Node | None = n
+        while box is not None and box.tag not in ("article", "li", "div"):
+            box = box.parent
+        if box is not None and id(box) not in boxes:
+            boxes[id(box)] = squeeze(box.text(NEAR_CHARS))[:NEAR]
+        picture = next((image_of(i) for i in n.walk() if i.tag == "img"), "")
+        out.append({"href": n.get("href"), "title": squeeze(n.text(NEAR_CHARS)), "near": boxes[id(box)] if box else "", "image": "" if rejected(picture) else picture})
+    return out
+
+
 PAGE = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("title", "page_title", "text", "og_description", "description", "image", "icon", "shortcut_icon", "next_data")]
     + [T.StructField("dates", T.ArrayType(T.StringType()))]
@@ -258,48 +292,46 @@ PAGE = T.StructType(
 )
 
 
-def read_page(html: str | None, strip_before_metadata: bool = True) -> dict:
-    """The fields of PAGE."""
-    root = parse(html)
-    nodes = list(root.walk())
-    rel = lambda x: next((n.get("href") for n in nodes if n.tag == "link" and n.get("rel") == x), "")
-    out = {
-        "title": title(root),
-        "page_title": "".join(n.text() for n in nodes if n.tag == "title"),
-        "og_description": meta(root, "property", "og:description"),
-        "description": meta(root, "name", "description"),
-        "icon": rel("icon"),
-        "shortcut_icon": rel("shortcut icon"),
-        "next_data": next((n.text() for n in nodes if n.get("id") == "__NEXT_DATA__"), ""),
+def read_page(html: str | None, strip_before_metadata: bool = True, fields: list[str] | None = None) -> dict | None:
+    """The fields of PAGE, all or those named; None for a page that can't be parsed."""
+    try:
+        page = Page(parse(html))
+    except Exception:  # html.parser raises on some malformed declarations
+        return None
+    rel = lambda x: next((n.get("href") for n in page.of("link") if n.get("rel") == x), "")
+    makers = {
+        "title": lambda: title(page),
+        "page_title": lambda: "".join(n.text() for n in page.of("title")),
+        "og_description": lambda: page.meta("property", "og:description"),
+        "description": lambda: page.meta("name", "description"),
+        "icon": lambda: rel("icon"),
+        "shortcut_icon": lambda: rel("shortcut icon"),
+        "next_data": lambda: next((n.text() for n in page.nodes if n.get("id") == "__NEXT_DATA__"), ""),
+        "links": lambda: links(page),
     }
-    links = []
-    for n in nodes:
-        if n.tag == "a" and "href" in n.attrs:
-            box: Node | None = n
-            while box is not None and box.tag not in ("article", "li", "div"):
-                box = box.parent
-            picture = next((image_of(i) for i in n.walk() if i.tag == "img"), "")
-            links.append({"href": n.get("href"), "title": squeeze(n.text()), "near": squeeze(box.text())[:3000] if box else "", "image": "" if rejected(picture) else picture})
-    out["links"] = links
-    if not strip_before_metadata:
-        out |= {"image": image(root), "dates": date_texts(root)}
-    strip_furniture(root)
-    out["text"] = main_text(root)
-    if strip_before_metadata:
-        out |= {"image": image(root), "dates": date_texts(root)}
+    late = {"image": lambda: image(page), "dates": lambda: date_texts(page)}
+    wanted = fields or PAGE.names
+    out = {k: make() for k, make in (makers if strip_before_metadata else makers | late).items() if k in wanted}
+    rest = [k for k in wanted if k not in out]
+    if rest:
+        strip_furniture(page.root)
+        page = Page(page.root)
+        out |= {k: make() for k, make in {"text": lambda: main_text(page), **late}.items() if k in rest}
     return out
 
 
-def read_pages(df: DataFrame, html: str = "html", out: str = "page", strip_before_metadata: bool = True) -> DataFrame:
-    """df with the struct PAGE of each page. An unreadable or null page has empty fields."""
+def read_pages(df: DataFrame, html: str = "html", out: str = "page", strip_before_metadata: bool = True, fields: list[str] | None = None) -> DataFrame:
+    """df with a struct of fields of each page: those of PAGE that are named, or all. A null page has
+    empty fields; one that can't be parsed is a null, whatever else is in its batch."""
+    kind = T.StructType([f for f in PAGE if fields is None or f.name in fields])
 
-    @F.pandas_udf(PAGE)
+    @F.pandas_udf(T.ArrayType(kind))
     def read(pages):
         import pandas as pd
 
-        return pd.DataFrame([read_page(p, strip_before_metadata) for p in pages], columns=PAGE.names)
+        return pd.Series([[] if (page := read_page(p, strip_before_metadata, fields)) is None else [page] for p in pages])
 
-    return df.withColumn(out, read(F.col(html).cast("string")))
+    return df.withColumn(out, F.get(read(F.col(html).cast("string")), F.lit(0)))
 
 
 def cards(df: DataFrame, html: str, box: str, date_tag: str, image_from_link: bool) -> DataFrame:
@@ -310,9 +342,13 @@ def cards(df: DataFrame, html: str, box: str, date_tag: str, image_from_link: bo
 
     def read(page: str | None) -> list[dict]:
         out = []
-        for n in parse(page).walk():
+        try:
+            nodes = parse(page).walk()
+        except Exception:  # as in read_page
+            return out
+        for n in nodes:
             if wanted <= set(n.get("class").split()):
-                below = list(n.walk())
+                below = n.walk()
                 text = lambda tag, below=below: next((x.text() for x in below if x.tag == tag), "")
                 attr = lambda tag, name, below=below: next((x.get(name) for x in below if x.tag == tag and name in x.attrs), "")
                 link, picture = attr("a", "href"), attr("img", "src")
@@ -323,7 +359,7 @@ def cards(df: DataFrame, html: str, box: str, date_tag: str, image_from_link: bo
     def all_cards(pages):
         return pages.map(read)
 
-    return df.withColumn("card", F.explode(all_cards(F.col(html).cast("string"))))
+    return df.select("*", F.posexplode(all_cards(F.col(html).cast("string"))).alias("card_no", "card"))
 
 
 def published(candidates: Column, fallback: Column | None = None) -> Column:
@@ -335,7 +371,7 @@ def published(candidates: Column, fallback: Column | None = None) -> Column:
 
 def direct_articles(df: DataFrame, url: str, html: str, now: Column) -> DataFrame:
     """Article rows of pages that are articles themselves."""
-    p = read_pages(df, html)
+    p = read_pages(df, html, fields=["title", "page_title", "og_description", "description", "text", "image", "icon", "shortcut_icon", "dates"])
     link = F.col(url)
     head = first_of(F.col("page.title"))
     when = published(F.col("page.dates"))
@@ -355,8 +391,9 @@ def direct_articles(df: DataFrame, url: str, html: str, now: Column) -> DataFram
 
 
 def enrich(candidates: DataFrame, pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Candidates with what their pages say; without a page a candidate stays as it is."""
-    p = read_pages(pages.select(F.col(url).alias("__url"), F.col(html).alias("__html")), "__html")
+    """Candidates with what their pages say; without a page, or with one that can't be parsed, a
+    candidate stays as it is."""
+    p = read_pages(pages.select(F.col(url).alias("__url"), F.col(html).alias("__html")), "__html", fields=["og_description", "description", "text", "image", "dates"])
     j = candidates.join(p.select("__url", "page"), F.col("newsLink") == F.col("__url"), "left")
     have = F.col("page").isNotNull()
     about = first_of(first_description(F.col("page.og_description"), F.col("page.description"), F.col("description")), F.col("title"))

@@ -46,3 +46,17 @@ def date_excluded(df: DataFrame, inside: Column, limit: int = 25) -> DataFrame:
 def rejections(df: DataFrame, limit: int = 100) -> DataFrame:
     """The reasons of the first rejected rows."""
     return df.orderBy("seq", "cityCode").limit(limit).where((F.size("reasons") > 0) & (F.col("title") != "")).select("seq", "cityCode", "title", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def lines(run) -> list[str]:
+    """What a run reports, line by line: bounded by its limits and the number of reasons."""
+    chosen = run.chosen.select("cityCode", "title", "newsLink").collect()
+    out = [f"Found {len(chosen)} new articles."]
+    out += [f"Skipped {r['n']} articles by {r['reason']}." for r in run.reason_counts.collect()]
+    out += [f"Missed? ({r['label']}): {r['title']}: {r['reasons']}" for r in run.missed.collect()]
+    out += [f"Outside the dates ({r['day']}): {r['title']} | {r['newsLink']}" for r in run.date_excluded.collect()]
+    out += [f"Skipped {r['title']}: {r['reasons']}" for r in run.rejections.collect()]
+    n = run.push_counts.first()
+    out.append(f"Push order: {n['n_shared']} shared-city articles first, then {n['n_specific']} city-specific articles.")
+    verb = "Dry run candidate" if run.options.dry_run else "Pushed"
+    return out + [f"{verb} ({r['cityCode']}): {r['title']} | {r['newsLink']}" for r in chosen]

@@ -13,34 +13,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsieve.functions import dates
+from quillsieve.functions import articles, dates
 from quillsieve.functions.html import cards, read_pages
 from quillsieve.functions.text import first_of, normalize_title, strip_html, text
 from quillsieve.functions.urls import absolute, bare_host, favicon, is_http, logo, publisher, source_kind
 from quillsieve.functions.wordlists import BLOCKED_LINKS, BLOCKED_TEXT, BLOCKED_TITLES, DEVELOPER_PUBLISHERS
-from quillsieve.operators.select import first_wins, per_group_limit
+from quillsieve.operators.select import first_wins, greedy_unique, per_group_limit
 
 CANDIDATE = ["title", "description", "articleText", "newsLink", "thumbnailImage", "postedBy", "postedByLogo", "createdAt", "publishedAt", "fetchedAt"]
 LEAST_TITLE = 18
 
 
-def fetch(df: DataFrame, url: str = "url", timeout: float = 15.0, attempts: int = 2, pause: float = 0.75, opener=None) -> DataFrame:
-    """df with status, body (bytes) and error of a GET of each URL; 404 and 410 aren't retried.
+def fetch(df: DataFrame, url: str = "url", timeout: float = 15.0, attempts: int = 2, pause: float = 0.75, growing: bool = False, form: str | None = None, opener=None) -> DataFrame:
+    """df with ``answer``: status, body (bytes) and error of a request for each URL; 404 and 410
+    aren't retried, any other failure is an error of its own row.
 
+    url: a column of URLs, or of arrays of URLs that are tried in order until one succeeds; growing:
+    the pause grows with each attempt; form: a column of form data, which makes the request a POST.
     opener(url, timeout) -> (status, bytes) replaces the network, as in tests.
     """
     shape = T.StructType([T.StructField("status", T.IntegerType()), T.StructField("body", T.BinaryType()), T.StructField("error", T.StringType())])
 
-    def get(u: str) -> tuple[int, bytes]:
-        request = urllib.request.Request(u, headers={"User-Agent": "Mozilla/5.0 (compatible; quillsieve)"})
+    def get(u: str, data: str | None) -> tuple[int, bytes]:
+        request = urllib.request.Request(u, data.encode() if data else None, headers={"User-Agent": "Mozilla/5.0 (compatible; quillsieve)"})
         with urllib.request.urlopen(request, timeout=timeout) as answer:
             return answer.status, answer.read()
 
-    def one(u: str | None) -> dict:
-        last = "no URL"
-        for k in range(attempts if u else 0):
+    def one(u: str, data: str | None) -> dict:
+        last = ""
+        for k in range(attempts):
             try:
-                status, body = (opener or (lambda x, _: get(x)))(u, timeout)
+                status, body = opener(u, timeout) if opener else get(u, data)
                 return {"status": status, "body": body, "error": None}
             except urllib.error.HTTPError as e:
                 last = f"HTTP {e.code}"
@@ -49,16 +52,25 @@ def fetch(df: DataFrame, url: str = "url", timeout: float = 15.0, attempts: int
             except Exception as e:  # a source that fails must not end the others
                 last = str(e) or type(e).__name__
             if k + 1 < attempts:
-                time.sleep(pause)
+                time.sleep(pause * (k + 1 if growing else 1))
         return {"status": None, "body": None, "error": last}
 
+    def first(urls, data: str | None) -> dict:
+        found = {"status": None, "body": None, "error": "no URL"}
+        for u in [] if urls is None else urls:
+            found = one(u, data)
+            if found["error"] is None:
+                break
+        return found
+
     @F.pandas_udf(shape)
-    def run(column):
+    def run(urls, data):
         import pandas as pd
 
-        return pd.DataFrame([one(u) for u in column], columns=shape.names)
+        return pd.DataFrame([first(u, d) for u, d in zip(urls, data)], columns=shape.names)
 
-    return df.withColumn("answer", run(F.col(url)))
+    tried = F.col(url) if dict(df.dtypes)[url].startswith("array") else F.array_compact(F.array(url))
+    return df.withColumn("answer", run(tried, F.col(form) if form else F.lit(None).cast("string")))
 
 
 def dispatch(sources: DataFrame, url: str = "url") -> DataFrame:
@@ -66,23 +78,21 @@ def dispatch(sources: DataFrame, url: str = "url") -> DataFrame:
     return sources.withColumn("kind", source_kind(F.col(url)))
 
 
-def feed_items(feeds: DataFrame, limit: int = 300, now: Column | None = None) -> DataFrame:
-    """Candidates of RSS and Atom feeds.
-
-    feeds: source (its URL), xml (text). Fields fall back as feeds differ; the first ``limit``
-    items of a feed count, and an unreadable feed has none.
-    """
-    kind = "array<struct<pos:int,title:string,link:string,guid:string,content:string,summary:string,image:string,published:string>>"
+def read_feeds(feeds: DataFrame) -> DataFrame:
+    """feeds (source, xml) with ``feed``: ok (whether it is XML), title, logo and items in order."""
+    text_fields = ("title", "link", "guid", "content", "summary", "image", "published")
+    item = T.StructType([T.StructField("pos", T.IntegerType()), *[T.StructField(n, T.StringType()) for n in text_fields]])
+    shape = T.StructType([T.StructField("ok", T.BooleanType()), T.StructField("title", T.StringType()), T.StructField("logo", T.StringType()), T.StructField("items", T.ArrayType(item))])
 
-    def read(xml: str | None) -> tuple[str, str, list]:
+    def read(xml: str | None) -> dict:
         import xml.etree.ElementTree as ET
 
         try:
             root = ET.fromstring(xml or "")
-        except ET.ParseError:
-            return "", "", []
+        except (ET.ParseError, ValueError):
+            return {"ok": False, "title": "", "logo": "", "items": []}
         bare = lambda tag: tag.rsplit("}", 1)[-1] if isinstance(tag, str) else ""
-        items = []
+        items: list[dict] = []
         head = {"title": "", "logo": ""}
         top = next((c for c in root if bare(c.tag) == "channel"), root)
         for c in top:
@@ -102,14 +112,27 @@ def feed_items(feeds: DataFrame, limit: int = 300, now: Column | None = None) ->
                     v.setdefault("image", c.get("url"))
                 elif c.text:
                     v.setdefault(name, c.text)
-            items.append((len(items), v.get("title", ""), v.get("link", ""), v.get("guid", v.get("id", "")), v.get("encoded", v.get("content", "")), v.get("description", v.get("summary", "")), v.get("image", ""), v.get("pubDate", v.get("published", v.get("updated", v.get("date", ""))))))
-        return head["title"], head["logo"], items
+            first = lambda *names, v=v: next((v[n] for n in names if n in v), "")
+            items.append({"pos": len(items), "title": first("title"), "link": first("link"), "guid": first("guid", "id"), "content": first("encoded", "content"), "summary": first("description", "summary"), "image": first("image"), "published": first("pubDate", "published", "updated", "date")})
+        return {"ok": True, **head, "items": items}
 
-    @F.udf(f"struct<title:string,logo:string,items:{kind}>")
+    @F.pandas_udf(shape)
     def parse(xml):
-        return read(xml)
+        import pandas as pd
+
+        return pd.DataFrame([read(x) for x in xml], columns=shape.names)
+
+    return feeds.withColumn("feed", parse("xml"))
+
 
-    rows = feeds.withColumn("feed", parse("xml")).select("source", "feed.title", "feed.logo", F.explode("feed.items").alias("i")).where(F.col("i.pos") < limit)
+def feed_items(feeds: DataFrame, limit: int = 300, now: Column | None = None) -> DataFrame:
+    """Candidates of RSS and Atom feeds.
+
+    feeds: source (its URL), xml (text), or what ``read_feeds`` makes of them. Fields fall back as
+    feeds differ; the first ``limit`` items of a feed count, and an unreadable feed has none.
+    """
+    read = feeds if "feed" in feeds.columns else read_feeds(feeds)
+    rows = read.select("source", "feed.title", "feed.logo", F.explode("feed.items").alias("i")).where(F.col("i.pos") < limit)
     link = F.when(F.col("i.link") != "", F.col("i.link")).otherwise(F.col("i.guid"))
     head = strip_html(F.col("i.title"))
     about = strip_html(first_of(F.col("i.summary"), F.col("i.content")))
@@ -143,7 +166,7 @@ def listing_links(pages: DataFrame, limit: int = 300, now: Column | None = None)
     pages: source (its URL), page_no, html. A link stays if it is http(s), of the source's host,
     named by at least LEAST_TITLE characters, not blocked, and the source's first with its URL.
     """
-    p = read_pages(pages, "html")
+    p = read_pages(pages, "html", fields=["page_title", "icon", "shortcut_icon", "links"])
     rows = p.select("source", "page_no", F.col("page.page_title").alias("page_title"), F.col("page.icon").alias("icon"), F.col("page.shortcut_icon").alias("shortcut"), F.posexplode("page.links").alias("pos", "a"))
     rows = rows.withColumns({"link": absolute(F.col("a.href"), F.col("source")), "name": F.col("a.title")})
     able = rows.where((F.col("link") != "") & (F.length("name") >= LEAST_TITLE) & (bare_host(F.col("link")) == bare_host(F.col("source"))) & ~blocked_link(F.col("name"), F.col("link")))
@@ -195,18 +218,48 @@ def official(rows: DataFrame, now: Column | None = None) -> DataFrame:
 
 
 #: host, classes of a card, tag of its date, whether the link is the image (fixed values).
-CARD_PAGES = [("dlf.in", "news_box.media_news", "span", True), ("smartworlddevelopers.com", "mediabox", "h5", False), ("centralpark.in", "board-thumb", "span", False)]
+CARD_PAGES = [("dlf.in", "news_box.media_news", "span", True), ("smartworlddevelopers.com", "mediabox", "h5", False), ("centralpark.in", "board-thumb", "h5", False)]
+#: Host whose cards have their title as the first line of a paragraph (fixed value).
+LINED = "centralpark.in"
 
 
 def card_rows(pages: DataFrame) -> DataFrame:
     """source, title, about, body, link, image, date of the cards on official pages (source, html)."""
     out = None
     for host, box, date_tag, image_from_link in CARD_PAGES:
-        one = cards(pages.where(bare_host(F.col("source")) == host), "html", box, date_tag, image_from_link).select("source", "card.*")
+        one = cards(pages.where(bare_host(F.col("source")) == host), "html", box, date_tag, image_from_link).select("source", F.col("card_no").alias("pos"), "card.*")
+        if host == LINED:
+            one = _lined(one)
         out = one if out is None else out.union(one)
     return out
 
 
+def _lined(rows: DataFrame) -> DataFrame:
+    """Cards whose first paragraph has the title as its first line and the description after it; an
+    award that is named first goes behind what it was given for."""
+    lines = F.filter(F.transform(F.split("about", r"\r?\n"), lambda x: strip_html(x)), lambda x: x != "")
+    r = rows.withColumn("lines", lines).withColumn("head", F.coalesce(F.get("lines", F.lit(0)), F.lit("")))
+    r = r.withColumn("rest", F.array_join(F.slice("lines", 2, F.greatest(F.size("lines"), F.lit(1))), " "))
+    about = F.when(F.col("rest") != "", F.col("rest")).otherwise(F.col("head"))
+    told = F.regexp_replace(about, r"(?is),\s+including(?![A-Za-z0-9_]).*$", "")
+    title = F.when((F.col("rest") != "") & F.col("head").rlike("(?i)awards?"), F.concat(told, F.lit(" at "), F.col("head"))).otherwise(F.col("head"))
+    return r.withColumns({"title": title, "body": F.array_join("lines", " "), "about": about}).select(*rows.columns)
+
+
+def official_unique(rows: DataFrame, limit: int = 300) -> DataFrame:
+    """Of official candidates (source, pos and an article's columns) those that repeat no link and no
+    title of their source, in order, at most ``limit`` of a source."""
+    full = rows.withColumns({"cityCode": F.lit(""), "url": F.lit("")})
+    own = lambda x: F.concat(F.col("source"), F.lit(" "), x)
+    ids = F.transform(F.array_distinct(F.filter(F.array(articles.stable_id(), articles.link_id(), articles.title_id()), lambda x: x != "")), own)
+    ranked = full.withColumns({"ids": ids, "rank": F.struct("source", "pos")}).drop("cityCode", "url")
+    return per_group_limit(greedy_unique(ranked, "rank", "ids"), ["source"], ["pos"], limit).drop("ids", "rank")
+
+
+#: Tabs of the paged API, in order (fixed values).
+TABS = ["news", "press_release", "event"]
+
+
 def api_rows(answers: DataFrame) -> DataFrame:
     """The same from stored answers of a paged JSON API: source, tab, page_no, json. A tab ends at
     its first page without rows, or after the page that its answers call the last."""
@@ -214,10 +267,12 @@ def api_rows(answers: DataFrame) -> DataFrame:
     j = answers.withColumn("j", F.from_json("json", shape)).withColumns({"n": F.coalesce(F.size("j.data"), F.lit(0)), "last": F.coalesce("j.last_page", F.lit(0))})
     ends = j.groupBy("source", "tab").agg(F.min(F.when((F.col("n") <= 0) | (F.col("last") == 0) | (F.col("page_no") >= F.col("last")), F.struct("page_no", "n"))).alias("e"))
     open_ = j.join(ends, ["source", "tab"]).where(F.col("e").isNull() | (F.col("page_no") < F.col("e.page_no")) | ((F.col("page_no") == F.col("e.page_no")) & (F.col("n") > 0)))
-    r = open_.select("source", F.explode("j.data").alias("d"))
+    r = open_.select("source", "tab", "page_no", F.posexplode("j.data").alias("n_in_page", "d"))
     about = F.when(text(F.col("d.description")) != "", F.col("d.description")).otherwise(F.col("d.title"))
     link = F.coalesce(F.nullif(text(F.col("d.link")), F.lit("")), F.nullif(text(F.col("d.image")), F.lit("")), F.col("source"))
-    return r.select("source", F.col("d.title").alias("title"), about.alias("about"), about.alias("body"), link.alias("link"), F.col("d.image").alias("image"), F.col("d.date_time").alias("date"))
+    place = F.coalesce(F.try_element_at(F.create_map(*[x for i, t in enumerate(TABS) for x in (F.lit(t), F.lit(i))]), F.col("tab")), F.lit(len(TABS)))
+    pos = (place * 1_000_000 + F.col("page_no") * 1000 + F.col("n_in_page")).cast("int")
+    return r.select("source", pos.alias("pos"), F.col("d.title").alias("title"), about.alias("about"), about.alias("body"), link.alias("link"), F.col("d.image").alias("image"), F.col("d.date_time").alias("date"))
 
 
 def embedded_blog_rows(pages: DataFrame) -> DataFrame:
@@ -225,8 +280,8 @@ def embedded_blog_rows(pages: DataFrame) -> DataFrame:
     v = F.try_parse_json("json")
     item = "array<struct<title:string,source_link:string,date:string,desktop_image:struct<url:string>,mobile_image:struct<url:string>>>"
     at = lambda root: F.try_variant_get(v, f"{root}.pageProps.newsData[0].media_blog", item)
-    d = pages.select("source", F.explode(F.coalesce(at("$.props"), at("$"))).alias("d"))
-    return d.select("source", F.col("d.title").alias("title"), F.col("d.title").alias("about"), F.col("d.title").alias("body"), F.col("d.source_link").alias("link"), F.coalesce("d.desktop_image.url", "d.mobile_image.url").alias("image"), F.col("d.date").alias("date"))
+    d = pages.select("source", F.posexplode(F.coalesce(at("$.props"), at("$"))).alias("pos", "d"))
+    return d.select("source", "pos", F.col("d.title").alias("title"), F.col("d.title").alias("about"), F.col("d.title").alias("body"), F.col("d.source_link").alias("link"), F.coalesce("d.desktop_image.url", "d.mobile_image.url").alias("image"), F.col("d.date").alias("date"))
 
 
 def embedded_media(pages: DataFrame, limit: int = 300, now: Column | None = None) -> DataFrame:
@@ -267,6 +322,7 @@ def embedded_media(pages: DataFrame, limit: int = 300, now: Column | None = None
     )
 
 
+# FIXED VALUES: the pattern of a notice's path, its places and sites, and the sentences about it.
 NOTICE = r"(?i)/documents/notices/NEWS_\d+.*\.pdf"
 PLACES = ["Budena", "Tikawali", "Kheri Kalan", "Bhupani"]
 SITES = [(r"(?i)(?:^|\d)PS|Primary", "primary school"), (r"(?i)(?:^|\d)NS|nursery", "nursery school"), (r"(?i)(?:^|\d)HS|High", "high school"), (r"(?i)Dispensary|HF|Health", "health facility"), (r"(?i)Creche", "creche")]
@@ -274,7 +330,7 @@ SITES = [(r"(?i)(?:^|\d)PS|Primary", "primary school"), (r"(?i)(?:^|\d)NS|nurser
 
 def notice_links(pages: DataFrame, limit: int = 300) -> DataFrame:
     """source, notice (URL), card title of the notices that pages (source, html) link to."""
-    rows = read_pages(pages, "html").select("source", F.posexplode("page.links").alias("pos", "a"))
+    rows = read_pages(pages, "html", fields=["links"]).select("source", F.posexplode("page.links").alias("pos", "a"))
     rows = rows.withColumn("notice", absolute(F.col("a.href"), F.col("source"))).where(F.col("notice").rlike(NOTICE))
     first = per_group_limit(first_wins(rows, ["source", "notice"], ["pos"]), ["source"], ["pos"], limit)
     return first.select("source", "pos", "notice", F.when(F.col("a.title").rlike("(?i)^view(?![A-Za-z0-9_])") | (F.col("a.title") == ""), F.col("a.near")).otherwise(F.col("a.title")).alias("card"))

@@ -16,7 +16,8 @@ from quillsieve.sources.state import State, push
 
 
 class Recurring:
-    """A run for each micro-batch.
+    """A run for each micro-batch. With the opt-in city it only reports, unless pushing is allowed
+    explicitly; asking for anything else is an error before anything runs.
 
     Delivery is at least once: the state is written after all of a batch's payloads went out
     (``commit_each``: after each of them, so a failure repeats at most one). In resend mode the
@@ -24,6 +25,8 @@ class Recurring:
     """
 
     def __init__(self, spark: SparkSession, state: State, options: Options, send, now=None, commit_each: bool = False):
+        if options.opt_in and not options.dry_run and not options.allow_opt_in_push:
+            raise ValueError("the opt-in city needs a dry run, or allow_opt_in_push once the receiver knows it")
         self.spark, self.state, self.options, self.send = spark, state, options, send
         self.now, self.commit_each = now or (lambda: datetime.now(UTC)), commit_each
 

@@ -97,8 +97,22 @@ def test_html():
     assert live["title"] == "A story here" and "Words of the story. Words" in live["text"] and live["og_description"] == "About it" and live["icon"] == "/i.png"
     assert live["image"] == "/pic.jpg" and not any(d.startswith("2026") for d in live["dates"]) and fresh["dates"][0] == "2026-07-01T10:00:00Z"
     assert live["links"][0]["title"] == "The next story of this page" and live["links"][0]["image"] == "/t.jpg"
-    image = lambda page: html.image(html.parse(page))
+    image = lambda page: html.image(html.Page(html.parse(page)))
     assert image('<meta property="og:image" content="https://e.com/logo.svg"><img id="zoom_class" src="https://e.com/s.png">') == "https://e.com/s.png"
     assert image('<script type="application/ld+json">{"image":{"url":"https://e.com/n.jpg"}}</script>') == "https://e.com/n.jpg"
     assert image('<meta property="og:image" content="https://e.com/r.jpg"><article><img src="https://e.com/artShare@2x.png"></article>') == "https://e.com/r.jpg"
     assert html.read_page(None)["title"] == "" and html.read_page("<p>a<p>b</" + "<div>" * 5000)["text"]
+
+
+def test_html_errors_and_size(spark):
+    """A page that can't be parsed is a null; links of one box cost no more than their number."""
+    bad = "<![foo[x]]><p>hi</p>"
+    assert html.read_page(bad) is None
+    many = "<div>" + "".join(f"<a href='/x{i}'>link number {i}</a> text " for i in range(20_000)) + "</div>"
+    got = html.read_page(many, fields=["links"])
+    assert set(got) == {"links"} and len(got["links"]) == 20_000 and len(got["links"][0]["near"]) == html.NEAR
+    df = spark.createDataFrame([(1, bad), (2, "<h1>Good</h1>"), (3, None), (4, "")], "id long, html string").coalesce(1)
+    rows = {r.id: r.page for r in html.read_pages(df, fields=["title", "dates"]).collect()}
+    assert rows[1] is None and [rows[i].title for i in (2, 3, 4)] == ["Good", "", ""]
+    now = F.lit("2026-07-01T00:00:00Z").cast("timestamp")
+    assert html.direct_articles(df.withColumn("url", F.lit("https://e.com/a")), "url", "html", now).count() == 4

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsieve.functions import articles, html
-from quillsieve.operators import select
+from quillsieve.operators import audit, select
+from quillsieve.plans.crawl import API_URL, BLOG_DATA, LINED_URL, crawl_and_push
 from quillsieve.sources import catalogue, pages
 from quillsieve.sources.options import Options
 from quillsieve.sources.state import KEPT, State, push
@@ -158,3 +159,54 @@ def test_recurring_runs_send_once(spark, tmp_path):
     resend.batch(df.where("seq = 0"), 8)
     assert len(sent) == 3
     assert r.state.read().count() == 6 and articles.ensure(df).count() == 3
+
+
+def test_opt_in_city_is_guarded(spark, tmp_path):
+    make = lambda **o: Recurring(spark, State(spark, str(tmp_path / "s")), Options(opt_in=True, **o), lambda p: None)
+    with pytest.raises(ValueError, match="opt-in"):
+        make()
+    assert make(dry_run=True) and make(allow_opt_in_push=True)
+
+
+def test_crawl(spark, tmp_path):
+    """Every kind of source, one that fails, a feed that is a page, an extra URL; then push and log."""
+    story = "<meta property='og:description' content='{0} told of a residential project in Gurugram with better connectivity.'><meta property='og:image' content='https://e.com/p.jpg'><article><p>" + "The Gurugram project has housing. " * 5 + "</p></article>"
+    site = {
+        "https://www.cnbctv18.com/real-estate/": "<title>C</title><a href='/first-story'>Residential project launched in Gurugram today</a><a href='/second'>Sohna Road residential project launched in Gurugram</a>",
+        "https://www.cnbctv18.com/first-story": story.format("One"),
+        "https://realty.economictimes.indiatimes.com/tag/gurugram": "<a href='/only-here'>Dwarka Expressway housing project approved in Gurugram</a>",
+        "https://realty.economictimes.indiatimes.com/tag/gurugram/2": "<a href='/page-two'>Golf Course Road housing project approved in Gurugram</a>",
+        "https://hsvphry.org.in/": "<div>Auction<a href='/documents/notices/NEWS_202606041240_a.pdf'>View</a></div>",
+        "https://hsvphry.org.in/documents/notices/NEWS_202606041240_a.pdf": "(https://e.com/Faridabad/Sector-84_2PS.pdf)",
+        "https://www.bptp.com/media": '<script id="__NEXT_DATA__" type="application/json">' + json.dumps({"props": {"pageProps": {"newsData": [{"title": "BPTP project in Greater Faridabad", "link": "https://x.com/b", "date": "2026-06-20"}]}}}) + "</script>",
+        "https://www.dlf.in/media": "<div class='news_box media_news'><h4>DLF one</h4><span>12 June 2026</span><a href='/n.pdf'>x</a></div><div class='news_box media_news'><h4>DLF one</h4><a href='/m.pdf'>x</a></div>",
+        LINED_URL: "<div class='board-thumb'><p>Realty Awards\nPark project, including others</p><h5>1 June 2026</h5><a href='/c'>x</a></div>",
+        API_URL.format(tab="news", page=1): json.dumps({"data": [{"title": "M3M one", "link": "https://x.com/m", "date_time": "2026-06-20"}], "last_page": 1}),
+        "https://www.signatureglobal.in/": "<p>no data</p>",
+        BLOG_DATA: json.dumps({"pageProps": {"newsData": [{"media_blog": [{"title": "S one", "source_link": "https://x.com/s", "date": "2026-06-20"}]}]}}),
+        "https://e.com/extra": "<h1>Extra residential project launched in Gurugram</h1>" + story.format("Extra"),
+        "https://propnewstime.com/": "<![foo[x]]>",
+    }
+
+    def opener(url, timeout):
+        if url not in site:
+            raise OSError(f"no {url}")
+        return 200, site[url].encode()
+
+    listed = [u for u in site if u.count("/") == 3 or u.endswith(("/media", "/real-estate/", "/tag/gurugram"))]
+    options = Options(sources=[*listed, "https://m3mindia.com/media", "https://www.centralpark.in/media.php", "https://ncrtc.in/", "https://nobody.com/x"], extra_urls=["https://e.com/extra", "ftp://e.com/x"], max_pages=2, start="2026-01-01")
+    sent = []
+    found, out = crawl_and_push(spark, State(spark, str(tmp_path / "state")), options, NOW, sent.append, opener, pause=0)
+    log = {r.source: r for r in found.log.collect()}
+    assert {u: r.n for u, r in log.items()} == {
+        "https://www.cnbctv18.com/real-estate/": 2, "https://realty.economictimes.indiatimes.com/tag/gurugram": 2, "https://hsvphry.org.in/": 1, "https://www.bptp.com/media": 1,
+        "https://www.dlf.in/media": 1, "https://www.signatureglobal.in/": 1, "https://propnewstime.com/": 0, "https://m3mindia.com/media": 1, "https://www.centralpark.in/media.php": 1,
+        "https://ncrtc.in/": 0, "https://e.com/extra": 1,
+    }
+    assert log["https://ncrtc.in/"].error == "no https://ncrtc.in/" and log["https://www.dlf.in/media"].error is None
+    rows = {r.title: r for r in found.articles.orderBy("seq").collect()}
+    assert rows["Residential project launched in Gurugram today"].description.startswith("One told") and rows["Sohna Road residential project launched in Gurugram"].thumbnailImage == ""
+    assert "Park project at Realty Awards" in rows and rows["Extra residential project launched in Gurugram"].newsLink == "https://e.com/extra"
+    assert list(rows)[-1] == "Extra residential project launched in Gurugram"
+    said = audit.lines(out)
+    assert said[0] == f"Found {len(sent)} new articles." and any(x.startswith("Push order: ") for x in said) and len([x for x in said if x.startswith("Pushed (")]) == len(sent)
