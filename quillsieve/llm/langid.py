@@ -5,7 +5,9 @@ lower case, with one space between them and at both ends. A text in the same for
 phrases by longest matches in the automaton, across words: the fewer phrases, the more alike. A
 text's cost in a language is the number of its phrases, weighted by log2 of the automaton's size
 (the bits that a pointer costs) and normalised by the text's letters; the language of the least
-cost wins. The whole text is parsed, a character that a language never has is a phrase.
+cost wins. The whole text is parsed, a character that a language never has is a phrase. The texts
+of a slice are parsed side by side, one character of each at a time; the last few, which are long,
+are then finished one by one.
 
 Learning uses a bounded sample: for each language the texts of smallest hash until SAMPLE_CHARS
 letters; the number of languages is bounded by MAX_LANGUAGES (more raise an error). Prediction
@@ -18,7 +20,7 @@ rows and very long texts are handled like any other.
 
 from __future__ import annotations
 
-import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +35,26 @@ SAMPLE_CHARS = 60_000
 SAMPLE_TEXTS = 100
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
-#: Characters that count as word characters but are neither letters nor decimal digits.
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+#: Transitions of one language as a table, at most (more are looked up one by one).
+TABLE = 8_000_000
+#: Texts that are worth a step of all of them.
+FEW = 48
+@lru_cache
+def _letters() -> np.ndarray:
+    """For each code point itself if it is a letter, else a space."""
+    every = np.arange(0x110000, dtype=np.uint32)
+    return np.where(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000), every, np.uint32(32))
 
 
 def running(text: str) -> str:
     """Words of letters in lower case, with one space around each; empty without a letter."""
-    found = _LETTERS.findall(text.lower())
-    return f" {' '.join(found)} " if found else ""
+    found = _letters()[np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), "<u4")]
+    keep = found != 32
+    if not keep.any():
+        return ""
+    keep[1:] |= found[:-1] != 32  # the space after a word
+    first = int(keep.argmax())
+    return " " + found[first:][keep[first:]].tobytes().decode("utf-32-le")
 
 
 class SuffixAutomaton:
@@ -95,9 +108,13 @@ class SuffixAutomaton:
 
     def phrases(self, text: str) -> int:
         """Longest-match phrases of a text; a character that never occurs is one by itself."""
+        return self._finish(text, 0, 0)
+
+    def _finish(self, text: str, state: int, count: int) -> int:
+        """Phrases with those of the text after ``count`` phrases and a match that led to ``state``."""
         table = self.next
         root = table[0]
-        at, count = root, 0
+        at = table[state]
         for c in text:
             if c in at:
                 at = table[at[c]]
@@ -110,6 +127,67 @@ class SuffixAutomaton:
                     at = root
         return count + (at is not root)
 
+    def table(self) -> tuple[np.ndarray, int, np.ndarray] | None:
+        """Codes of characters (0: none), number of codes, and the transitions by state and code."""
+        known = sorted(self.next[0])
+        n = len(known) + 1
+        if len(self.next) * n > TABLE:
+            return None
+        codes = np.zeros(ord(known[-1]) + 2 if known else 1, np.int32)
+        codes[[ord(c) for c in known]] = np.arange(1, n)
+        flat = np.full(len(self.next) * n, -1, np.int32)
+        place = [s * n + codes[ord(c)] for s, row in enumerate(self.next) for c in row]
+        flat[place] = [to for row in self.next for to in row.values()]
+        return codes, n, flat
+
+
+class Parser:
+    """Several automata over the same texts. Made where it is used: its tables aren't sent."""
+
+    def __init__(self, automata: list[SuffixAutomaton]):
+        self.automata = automata
+        tables = [a.table() for a in automata]
+        self.quick = [i for i, t in enumerate(tables) if t]
+        self.slow = [i for i, t in enumerate(tables) if not t]
+        found = [t for t in tables if t]
+        self.codes = [t[0] for t in found]
+        self.n = np.array([[t[1]] for t in found], np.int64)
+        sizes = [len(t[2]) for t in found]
+        self.first = (np.cumsum(sizes) - sizes).astype(np.int64)[:, None] if found else np.zeros((0, 1), np.int64)
+        self.flat = np.concatenate([t[2] for t in found]) if found else np.zeros(0, np.int32)
+
+    def phrases(self, texts: list[str]) -> np.ndarray:
+        """Phrases of each text (the longest first) for each automaton."""
+        out = np.zeros((len(self.automata), len(texts)), np.int64)
+        for i in self.slow:
+            out[i] = [self.automata[i].phrases(t) for t in texts]
+        if not self.quick or not texts:
+            return out
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
+        code = np.stack([c[np.minimum(chars, len(c) - 1)] for c in self.codes])
+        sizes = np.array([len(t) for t in texts])
+        start = np.cumsum(sizes) - sizes
+        state, count = np.zeros((len(self.quick), len(texts)), np.int64), np.zeros((len(self.quick), len(texts)), np.int64)
+        active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right").tolist()
+        t = 0
+        while t < len(active) and active[t] >= FEW:
+            k = active[t]
+            c, s = code.take(start[:k] + t, axis=1), state[:, :k]
+            to = self.flat.take(self.first + s * self.n + c)
+            lost = to < 0
+            anew = self.flat.take(self.first + c)
+            count[:, :k] += lost & (s > 0)
+            count[:, :k] += lost & (anew < 0)
+            state[:, :k] = np.where(lost, np.maximum(anew, 0), to)
+            t += 1
+        left = active[t] if t < len(active) else 0
+        count[:, left:] += state[:, left:] > 0
+        for j, i in enumerate(self.quick):
+            for k in range(left):
+                count[j, k] = self.automata[i]._finish(texts[k][t:], int(state[j, k]), int(count[j, k]))
+        out[self.quick] = count
+        return out
+
 
 class Model:
     """One automaton for each language, in order of name."""
@@ -117,17 +195,25 @@ class Model:
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         self.automata = [SuffixAutomaton(dict.fromkeys(samples[name])) for name in self.languages]
+        self.parser: Parser | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"parser": None}
 
     def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
         """Language and score of each text. Score: how far the second language is behind."""
         names, scores = [UNKNOWN] * len(arr), np.zeros(len(arr))
-        for i, value in enumerate(arr):
-            text = running(value.as_py() or "") if self.automata else ""
-            if text:
-                costs = [a.phrases(text) * a.bits for a in self.automata]
-                best = min(costs)
-                names[i] = self.languages[costs.index(best)]
-                scores[i] = 1 - best / sorted(costs)[1] if len(costs) > 1 else 1.0
+        read = [(i, running(value)) for i, value in enumerate(arr.to_pylist()) if value] if self.automata else []
+        read = sorted(((i, t) for i, t in read if t), key=lambda x: -len(x[1]))
+        if not read:
+            return names, scores
+        self.parser = self.parser or Parser(self.automata)
+        costs = self.parser.phrases([t for _, t in read]).T * np.array([a.bits for a in self.automata])
+        best = costs.argmin(axis=1)
+        order = np.sort(costs, axis=1)
+        for k, (i, _) in enumerate(read):
+            names[i] = self.languages[best[k]]
+            scores[i] = 1 - order[k, 0] / order[k, 1] if order.shape[1] > 1 else 1.0
         return names, scores
 
 

@@ -1,6 +1,7 @@
 """Text operators against brute force, the tiktoken library and planted cases."""
 
 import hashlib
+import pickle
 import random
 import re
 import shutil
@@ -598,15 +599,25 @@ def test_langid_equals_brute_force(spark):
     assert langid.predict(df, model).columns == ["doc_id", "text", "lang", "lang_pred", "score"]
 
 
-def test_automaton_phrases():
+def test_automaton_phrases(monkeypatch):
     """Greedy longest matches, compared with a search in all substrings."""
     rng = random.Random(3)
     known = ["".join(rng.choices("abc", k=rng.randrange(1, 9))) for _ in range(30)]
     parts = {w[i:j] for w in known for i in range(len(w)) for j in range(i + 1, len(w) + 1)}
-    automaton = langid.SuffixAutomaton(known)
+    automaton, tried = langid.SuffixAutomaton(known), []
     for _ in range(300):
-        word, at, n = "".join(rng.choices("abcd", k=12)), 0, 0
+        word, at, n = "".join(rng.choices("abcdé", k=rng.randrange(40))), 0, 0
         while at < len(word):
             at += max([k for k in range(1, len(word) - at + 1) if word[at : at + k] in parts], default=1)
             n += 1
         assert automaton.phrases(word) == n
+        tried.append((word, n))
+    # Side by side, wholly or until few are left, and without a table.
+    tried.sort(key=lambda x: -len(x[0]))
+    texts, want = [t for t, _ in tried if t], [n for t, n in tried if t]
+    second = langid.SuffixAutomaton([w[::-1] for w in known[:9]])
+    for few, table in ((1, 10**6), (48, 10**6), (10**6, 10**6), (1, 0), (1, 4 * len(second.next))):
+        monkeypatch.setattr(langid, "FEW", few)
+        monkeypatch.setattr(langid, "TABLE", table)
+        both = langid.Parser(pickle.loads(pickle.dumps([automaton, second])))
+        assert both.phrases(texts).tolist() == [want, [second.phrases(t) for t in texts]]
