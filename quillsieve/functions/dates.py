@@ -55,32 +55,43 @@ def parse(c: Column) -> Column:
     raw = F.regexp_replace(text(c), r"(?i)(?<![A-Za-z0-9_])(?:updated|published|last updated|posted)\s*(?:on|at)?\s*:?\s*", " ")
     raw = collapse(F.regexp_replace(raw, r"(?i)(?<![A-Za-z0-9_])(\d{1,2})(?:st|nd|rd|th)(?![A-Za-z0-9_])", "$1"))
     zoned = lambda x: F.regexp_replace(x, r"(?i)(?<![A-Za-z0-9_])IST(?![A-Za-z0-9_])", "+05:30")
-    return let(raw, lambda x: F.coalesce(let(zoned(x), _whole), _inside(x)))
+    return let(raw, lambda x: F.when(x.rlike("[0-9]"), F.coalesce(let(zoned(x), _whole), _inside(x))))
+
+
+def _groups(x: Column, pattern: str, n: int) -> Column:
+    """The groups of a pattern's first match, by one match of the whole text; empty for one unused."""
+    every = "|".join(f"${k}" for k in range(1, n + 1))
+    return F.split(F.regexp_replace(x, rf"(?s)^.*?(?:{pattern}).*$", every), "[|]")
 
 
 def _iso(x: Column) -> Column:
-    i = lambda k: _int(F.regexp_extract(x, ISO, k))
-    fits = i(2).between(1, 12) & i(3).between(1, 31) & (i(4) < 25) & (i(5) < 60) & (i(6) < 60)
-    micros = F.coalesce((F.regexp_extract(x, ISO, 7).try_cast("double") * 1_000_000).cast("long"), F.lit(0))
-    when = from_parts(i(1), i(2), i(3), i(4), i(5), i(6), F.lit(""), _east(F.regexp_extract(x, ISO, 8)))
-    return F.when(x.rlike(ISO) & fits, F.timestamp_micros(F.unix_micros(when) + micros))
+    def read(g: Column) -> Column:
+        i = lambda k: _int(g[k - 1])
+        fits = i(2).between(1, 12) & i(3).between(1, 31) & (i(4) < 25) & (i(5) < 60) & (i(6) < 60)
+        micros = F.coalesce((g[6].try_cast("double") * 1_000_000).cast("long"), F.lit(0))
+        when = from_parts(i(1), i(2), i(3), i(4), i(5), i(6), F.lit(""), _east(g[7]))
+        return F.when(fits, F.timestamp_micros(F.unix_micros(when) + micros))
+
+    return F.when(x.rlike(ISO), let(_groups(x, ISO, 8), read))
+
 
+def _named(x: Column, pattern: str, n: int, month: int, day: int, second: int | None, meridiem: int, zone: int | None) -> Column:
+    def read(g: Column) -> Column:
+        seconds = _int(g[second - 1]) if second else F.lit(0)
+        east = _east(g[zone - 1]) if zone else F.lit(LOCAL_MINUTES)
+        return from_parts(_int(g[2]), month_number(g[month - 1]), _int(g[day - 1]), _int(g[3]), _int(g[4]), seconds, g[meridiem - 1], east)
 
-def _named(x: Column, pattern: str, month: int, day: int, second: int | None, meridiem: int, east: Column) -> Column:
-    g = lambda k: F.regexp_extract(x, pattern, k)
-    seconds = _int(g(second)) if second else F.lit(0)
-    return F.when(x.rlike(pattern), from_parts(_int(g(3)), month_number(g(month)), _int(g(day)), _int(g(4)), _int(g(5)), seconds, g(meridiem), east))
+    return F.when(x.rlike(pattern), let(_groups(x, pattern, n), read))
 
 
 def _whole(x: Column) -> Column:
     """A value that is nothing but a date."""
-    zone = lambda p: _east(F.regexp_extract(x, p, 8))
-    return F.coalesce(_iso(x), _named(x, WHOLE_MONTH_FIRST, 1, 2, 6, 7, zone(WHOLE_MONTH_FIRST)), _named(x, WHOLE_DAY_FIRST, 2, 1, 6, 7, zone(WHOLE_DAY_FIRST)))
+    return F.coalesce(_iso(x), _named(x, WHOLE_MONTH_FIRST, 8, 1, 2, 6, 7, 8), _named(x, WHOLE_DAY_FIRST, 8, 2, 1, 6, 7, 8))
 
 
 def _inside(x: Column) -> Column:
     """The first date within a text."""
-    return F.coalesce(_named(x, MONTH_FIRST, 1, 2, None, 6, F.lit(LOCAL_MINUTES)), _named(x, DAY_FIRST, 2, 1, None, 6, F.lit(LOCAL_MINUTES)))
+    return F.coalesce(_named(x, MONTH_FIRST, 6, 1, 2, None, 6, None), _named(x, DAY_FIRST, 6, 2, 1, None, 6, None))
 
 
 def iso_text(ts: Column) -> Column:

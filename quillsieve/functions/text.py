@@ -36,7 +36,7 @@ def trim(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    return trim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))  # all that is left at the ends is a space
 
 
 def _numeric(c: Column, pattern: str, prefix: str, digits: str) -> Column:
@@ -51,20 +51,25 @@ def _numeric(c: Column, pattern: str, prefix: str, digits: str) -> Column:
 
 def strip_html(c: Column, numeric: bool = True) -> Column:
     """Text without tags, with the entities above decoded and white space collapsed."""
-    out = F.regexp_replace(text(c), "<[^>]*>", " ")
-    for name, value in ENTITIES:
-        out = F.regexp_replace(out, f"(?i)&{name};" if name[0] != "#" else f"&{name};", value)
-    if numeric:
-        hexa = lambda x: _numeric(F.regexp_replace(x, "&#X", "&#x"), "&#x([0-9a-fA-F]+);", "&#x", "16")
-        both = lambda x: let(hexa(x), lambda y: _numeric(y, "&#([0-9]+);", "&#", "10"))
-        out = let(out, lambda x: F.when(F.contains(x, F.lit("&#")), both(x)).otherwise(x))
-    return collapse(out)
+    def decoded(x: Column) -> Column:
+        for name, value in ENTITIES:
+            x = F.regexp_replace(x, f"(?i)&{name};" if name[0] != "#" else f"&{name};", value)
+        if not numeric:
+            return x
+        hexa = lambda y: _numeric(F.regexp_replace(y, "&#X", "&#x"), "&#x([0-9a-fA-F]+);", "&#x", "16")
+        both = lambda y: let(hexa(y), lambda z: _numeric(z, "&#([0-9]+);", "&#", "10"))
+        return let(x, lambda y: F.when(F.contains(y, F.lit("&#")), both(y)).otherwise(y))
+
+    # Most texts have no entity, and then nothing looks for one.
+    tagless = F.regexp_replace(text(c), "<[^>]*>", " ")
+    return collapse(let(tagless, lambda x: F.when(F.contains(x, F.lit("&")), decoded(x)).otherwise(x)))
 
 
 def clean_text(c: Column, limit: int = 600, numeric: bool = True) -> Column:
     """Stripped text of at most ``limit`` characters: a longer one loses its last, partial word
     and gets a full stop."""
-    whole = collapse(F.regexp_replace(strip_html(c, numeric), r"[\x{200B}-\x{200D}\x{FEFF}]", ""))
+    marks = r"[\x{200B}-\x{200D}\x{FEFF}]"
+    whole = let(strip_html(c, numeric), lambda x: F.when(x.rlike(marks), collapse(F.regexp_replace(x, marks, ""))).otherwise(x))
     tail = rf"{SPACE}+[^\t\n\x0B\f\r \x{{A0}}\x{{FEFF}}]*$"
     short = lambda x: F.concat(trim(F.regexp_replace(F.substring(x, 1, limit), tail, "")), F.lit("."))
     return let(whole, lambda x: F.when(F.length(x) <= limit, x).otherwise(short(x)))

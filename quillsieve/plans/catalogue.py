@@ -380,36 +380,12 @@ def t13_catalogue_sort(spark, sf_dir):
     return catalogue.table(s).select(F.col("ID").cast("long").alias("id"), F.col("Company").alias("company"))
 
 
-@query()
-def x1_main_text(spark, sf_dir):
-    p = pages_.read_pages(table(spark, sf_dir, "pages"))
-    return p.select("page_id", F.col("page.text").alias("text"), F.col("page.image").alias("image"), pages_.published(F.col("page.dates")).alias("published"))
-
-
-
-@query()
-def x2_title(spark, sf_dir):
-    return pages_.read_pages(table(spark, sf_dir, "pages")).select("page_id", F.col("page.title").alias("title"))
-
 
 @query(f"SELECT page_id, CASE WHEN regexp_replace({SQL_HOST}, '^www[.]', '') <> '' THEN regexp_replace({SQL_HOST}, '^www[.]', '') END AS publisher, 'https://www.google.com/s2/favicons?domain=' || {SQL_HOST} || '&sz=128' AS logo FROM pages")
 def x8_x9_publisher(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.publisher(F.col("url"), F.lit("")).alias("publisher"), urls.favicon(F.col("url")).alias("logo"))
 
 
-@query()
-def s3_listing_links(spark, sf_dir):
-    """Candidates of listing pages."""
-    p = table(spark, sf_dir, "pages").select(F.col("url").alias("source"), F.lit(1).alias("page_no"), "html")
-    return pages.listing_links(p, now=F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp")).select("source", "pos", "title", "newsLink", "postedBy")
-
-
-@query()
-def s4_direct_articles(spark, sf_dir):
-    d = pages_.direct_articles(table(spark, sf_dir, "pages"), "url", "html", F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp"))
-    return d.select("page_id", "title", "newsLink", "postedBy")
-
-
 @query("SELECT sha256(lower(url)) AS id FROM pages QUALIFY row_number() OVER (ORDER BY page_id DESC) <= 10000")
 def k2_sent_state(spark, sf_dir):
     """Ids added to a state and read again: the newest ten thousand stay."""

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from quillsieve.plans.catalogue import ORACLES, QUERIES
+from quillsieve.plans.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables aren't here")
