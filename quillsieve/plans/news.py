@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quillsieve.functions import articles
 from quillsieve.functions import wordlists as w
 from quillsieve.operators.rules import EXEMPT, REASONS, Pack
+from quillsieve.sources.scratch import spread
 
 PLACES = ["Gurugram", "Faridabad", "Dwarka Expressway", "Noida", "Sohna Road", "Delhi NCR", "Pune"]
 MAKERS = ["DLF", "BPTP", "M3M", "Omaxe", "Godrej Properties", "Lodha", "Acme"]
@@ -123,7 +124,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, (values, place) in PICKS.items():
         at = F.expr(place.replace("//", "DIV").replace("d", "__d"))
         picked[name] = F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", d.alias("__d"))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).select("doc_id", "text", d.alias("__d"))
     rows = docs.withColumns(picked)
     rows = rows.withColumn("articleText", F.coalesce("articleText", "text", F.lit("")))
     fill = lambda x: F.replace(F.replace(F.replace(x, F.lit("{c}"), F.col("c")), F.lit("{m}"), F.col("m")), F.lit("{i}"), F.col("doc_id").cast("string"))

@@ -21,6 +21,18 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes a core below which a table is dealt out again.
+SMALL = 8 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df on all cores if it is small: a file of one row group is read by one task, whatever the
+    number of cores. A table of more than SMALL bytes a core has row groups enough and stays."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if cores > 1 and size < SMALL * cores else df
+
+
 class Scratch:
     """Written tables of one operator run; ``drop`` deletes one that is no longer read."""
 
