@@ -7,10 +7,11 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from quillsieve.llm import bpe, chat, decontam, langid, lattice, license_scan, lm, rollup, simhash, substring
+from quillsieve.sources.scratch import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 @lru_cache
