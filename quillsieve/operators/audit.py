@@ -39,8 +39,8 @@ def date_excluded(df: DataFrame, inside: Column, limit: int = 25) -> DataFrame:
     out = df.where(~inside & ~F.col("skipped") & (F.size("reasons") == 0))
     when = F.coalesce(dates.article_date(F.col("publishedAt"), F.col("createdAt")), F.to_timestamp(F.lit(select.EPOCH)))
     ranked = out.withColumn("__when", when).withColumn("__rank", F.struct(-F.unix_micros("__when"), F.col("seq"), F.col("cityCode")))
-    kept = select.greedy_unique(ranked, "__rank", "ids")
-    return kept.orderBy("__rank").limit(limit).select("seq", "cityCode", F.date_format("__when", "yyyy-MM-dd").alias("day"), "title", "newsLink")
+    kept = select.greedy_top(ranked, "__rank", "ids", limit)
+    return kept.orderBy("__rank").select("seq", "cityCode", F.date_format("__when", "yyyy-MM-dd").alias("day"), "title", "newsLink")
 
 
 def rejections(df: DataFrame, limit: int = 100) -> DataFrame:

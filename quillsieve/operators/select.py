@@ -110,3 +110,18 @@ def greedy_unique(df: DataFrame, rank: str, ids: str) -> DataFrame:
     if kept is None:
         return df.limit(0)
     return df.join(kept.select(F.col("r").alias("__kept")), F.col(rank) == F.col("__kept"), "left_semi")
+
+
+def greedy_top(df: DataFrame, rank: str, ids: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows that ``greedy_unique`` keeps, in order of rank.
+
+    Whether a row stays depends on earlier rows only, so the first rows by rank are enough if that
+    many of them stay; else more of them are taken, and in the end all.
+    """
+    size = 8 * limit
+    while True:
+        first = Scratch(df.sparkSession, "greedy-top").cut(df.orderBy(rank).limit(size))
+        kept = greedy_unique(first, rank, ids)
+        if first.count() < size or kept.count() >= limit:
+            return kept.orderBy(rank).limit(limit)
+        size *= 8

@@ -276,7 +276,12 @@ def j7_enrich(spark, sf_dir):
     return table(spark, sf_dir, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.coalesce("c_mktsegment", "o_orderstatus").alias("told"))
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n, [sha256(coalesce(text, '')), 'n' || sha256({sql_norm('text')})] AS ids FROM documents),
+    r AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, CAST(NULL AS BIGINT) AS doc_id
+      UNION ALL SELECT d.n, CASE WHEN list_has_any(seen, ids) THEN seen ELSE list_concat(seen, ids) END, CASE WHEN list_has_any(seen, ids) THEN NULL ELSE d.doc_id END FROM r JOIN d ON d.n = r.n + 1)
+    SELECT doc_id FROM r WHERE doc_id IS NOT NULL"""
+)
 def t3_greedy_unique(spark, sf_dir):
     """Greedy dedupe of documents by text and by normalised text."""
     d = table(spark, sf_dir, "documents")

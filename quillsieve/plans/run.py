@@ -31,7 +31,7 @@ class Run:
     def chosen(self) -> DataFrame:
         able = self.judged.where(~F.col("skipped") & (F.size("reasons") == 0))
         ranked = able.withColumn("rank", F.struct(*[x.alias(f"r{i}") for i, x in enumerate(_ranks())]))
-        top = select.greedy_unique(ranked, "rank", "ids").orderBy("rank").limit(self.options.max_items)
+        top = select.greedy_top(ranked, "rank", "ids", self.options.max_items)
         return Scratch(self.rows.sparkSession, "chosen").cut(top).orderBy("rank").drop("rank")
 
     @cached_property

@@ -106,6 +106,14 @@ def test_greedy_unique_equals_brute_force(spark, seed):
     assert select.greedy_unique(df.limit(0), "r", "ids").count() == 0
 
 
+def test_greedy_top_takes_more_rows_where_many_repeat(spark):
+    rng = random.Random(7)
+    rows = [(i, ["same"] if i < 30 else [f"u{rng.randrange(40)}", f"t{rng.randrange(40)}"]) for i in range(120)]
+    df = spark.createDataFrame(rows, "r long, ids array<string>")
+    for limit in (1, 3, 100):
+        assert [x.r for x in select.greedy_top(df, "r", "ids", limit).collect()] == brute_greedy(rows)[:limit]
+
+
 def test_state_is_bounded_and_ordered(spark, tmp_path):
     s = State(spark, str(tmp_path / "s"))
     assert s.read().count() == 0
