@@ -58,7 +58,11 @@ def running(text: str) -> str:
 
 
 class SuffixAutomaton:
-    """Automaton of all substrings of some texts; transitions as one dictionary per state."""
+    """Automaton of all substrings of some texts.
+
+    codes: the code of each code point (0: none); n: number of codes; states: number of states; the
+    transitions are two arrays: keys (state * n + code) and the states that they lead to.
+    """
 
     def __init__(self, texts):
         self.next: list[dict[str, int]] = [{}]
@@ -98,7 +102,16 @@ class SuffixAutomaton:
                             p = link[p]
                         link[q] = link[new] = clone
                 last = new
-        self.bits = float(np.log2(len(self.next) + 1))
+        self.states = len(self.next)
+        self.bits = float(np.log2(self.states + 1))
+        known = sorted(self.next[0])
+        self.n = len(known) + 1
+        self.codes = np.zeros(ord(known[-1]) + 2 if known else 1, np.uint8 if self.n <= 256 else np.int32)
+        self.codes[[ord(c) for c in known]] = np.arange(1, self.n)
+        code = {c: i + 1 for i, c in enumerate(known)}
+        self.keys = np.array([s * self.n + code[c] for s, row in enumerate(self.next) for c in row], np.int64)
+        self.to = np.array([t for row in self.next for t in row.values()], np.int32)
+        del self.next
 
     def _clone(self, link, size, q, length) -> int:
         self.next.append(dict(self.next[q]))
@@ -106,39 +119,34 @@ class SuffixAutomaton:
         link.append(link[q])
         return len(self.next) - 1
 
+    def coded(self, chars: np.ndarray) -> np.ndarray:
+        """Codes of code points."""
+        return self.codes[np.minimum(chars, np.uint32(len(self.codes) - 1))]
+
     def phrases(self, text: str) -> int:
         """Longest-match phrases of a text; a character that never occurs is one by itself."""
-        return self._finish(text, 0, 0)
-
-    def _finish(self, text: str, state: int, count: int) -> int:
-        """Phrases with those of the text after ``count`` phrases and a match that led to ``state``."""
-        table = self.next
-        root = table[0]
-        at = table[state]
-        for c in text:
-            if c in at:
-                at = table[at[c]]
-            else:
-                count += at is not root
-                if c in root:
-                    at = table[root[c]]
-                else:
-                    count += 1
-                    at = root
-        return count + (at is not root)
-
-    def table(self) -> tuple[np.ndarray, int, np.ndarray] | None:
-        """Codes of characters (0: none), number of codes, and the transitions by state and code."""
-        known = sorted(self.next[0])
-        n = len(known) + 1
-        if len(self.next) * n > TABLE:
-            return None
-        codes = np.zeros(ord(known[-1]) + 2 if known else 1, np.int32)
-        codes[[ord(c) for c in known]] = np.arange(1, n)
-        flat = np.full(len(self.next) * n, -1, np.int32)
-        place = [s * n + codes[ord(c)] for s, row in enumerate(self.next) for c in row]
-        flat[place] = [to for row in self.next for to in row.values()]
-        return codes, n, flat
+        table = dict(zip(self.keys.tolist(), self.to.tolist()))
+        code = self.coded(np.array([ord(c) for c in text], np.uint32)).tolist()
+        return _finish(lambda k: table.get(k, -1), self.n, code, 0, 0)
+
+    def flat(self) -> np.ndarray:
+        """The transitions of all states by code; -1: none."""
+        out = np.full(self.states * self.n, -1, np.int32)
+        out[self.keys] = self.to
+        return out
+
+
+def _finish(get, n: int, code: list[int], state: int, count: int) -> int:
+    """Phrases with those of the codes that follow ``count`` phrases and a match that led to ``state``."""
+    for c in code:
+        to = get(state * n + c)
+        if to < 0:
+            count += state > 0
+            to = get(c)
+            if to < 0:
+                count, to = count + 1, 0
+        state = to
+    return count + (state > 0)
 
 
 class Parser:
@@ -146,25 +154,29 @@ class Parser:
 
     def __init__(self, automata: list[SuffixAutomaton]):
         self.automata = automata
-        tables = [a.table() for a in automata]
-        self.quick = [i for i, t in enumerate(tables) if t]
-        self.slow = [i for i, t in enumerate(tables) if not t]
-        found = [t for t in tables if t]
-        self.codes = [t[0] for t in found]
-        self.n = np.array([[t[1]] for t in found], np.int64)
-        sizes = [len(t[2]) for t in found]
+        self.quick = [i for i, a in enumerate(automata) if a.states * a.n <= TABLE]
+        found = [automata[i] for i in self.quick]
+        self.n = np.array([[a.n] for a in found], np.int64)
+        sizes = [a.states * a.n for a in found]
         self.first = (np.cumsum(sizes) - sizes).astype(np.int64)[:, None] if found else np.zeros((0, 1), np.int64)
-        self.flat = np.concatenate([t[2] for t in found]) if found else np.zeros(0, np.int32)
+        self.flat = np.empty(sum(sizes), np.int32)
+        for a, lo, size in zip(found, self.first[:, 0].tolist(), sizes):
+            self.flat[lo : lo + size] = a.flat()
+        self.slow = {i: dict(zip(a.keys.tolist(), a.to.tolist())) for i, a in enumerate(automata) if i not in self.quick}
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text (the longest first) for each automaton."""
         out = np.zeros((len(self.automata), len(texts)), np.int64)
-        for i in self.slow:
-            out[i] = [self.automata[i].phrases(t) for t in texts]
-        if not self.quick or not texts:
+        if not texts:
+            return out
+        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        ends = np.cumsum([len(t) for t in texts])
+        for i, table in self.slow.items():
+            code = self.automata[i].coded(chars)
+            out[i] = [_finish(lambda k, table=table: table.get(k, -1), self.automata[i].n, c.tolist(), 0, 0) for c in np.split(code, ends[:-1])]
+        if not self.quick:
             return out
-        chars = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
-        code = np.stack([c[np.minimum(chars, len(c) - 1)] for c in self.codes])
+        code = np.stack([self.automata[i].coded(chars) for i in self.quick])
         sizes = np.array([len(t) for t in texts])
         start = np.cumsum(sizes) - sizes
         state, count = np.zeros((len(self.quick), len(texts)), np.int64), np.zeros((len(self.quick), len(texts)), np.int64)
@@ -182,9 +194,10 @@ class Parser:
             t += 1
         left = active[t] if t < len(active) else 0
         count[:, left:] += state[:, left:] > 0
-        for j, i in enumerate(self.quick):
+        for j, (lo, n) in enumerate(zip(self.first[:, 0].tolist(), self.n[:, 0].tolist())):
+            get = memoryview(self.flat)[lo:].__getitem__
             for k in range(left):
-                count[j, k] = self.automata[i]._finish(texts[k][t:], int(state[j, k]), int(count[j, k]))
+                count[j, k] = _finish(get, n, code[j, start[k] + t : ends[k]].tolist(), int(state[j, k]), int(count[j, k]))
         out[self.quick] = count
         return out
 

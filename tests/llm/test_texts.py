@@ -616,7 +616,7 @@ def test_automaton_phrases(monkeypatch):
     tried.sort(key=lambda x: -len(x[0]))
     texts, want = [t for t, _ in tried if t], [n for t, n in tried if t]
     second = langid.SuffixAutomaton([w[::-1] for w in known[:9]])
-    for few, table in ((1, 10**6), (48, 10**6), (10**6, 10**6), (1, 0), (1, 4 * len(second.next))):
+    for few, table in ((1, 10**6), (48, 10**6), (10**6, 10**6), (1, 0), (1, 4 * second.states)):
         monkeypatch.setattr(langid, "FEW", few)
         monkeypatch.setattr(langid, "TABLE", table)
         both = langid.Parser(pickle.loads(pickle.dumps([automaton, second])))
