@@ -21,7 +21,8 @@ execution can split, and no group is collected. Hashes decide equality within a
 
 Defined results: a null text has no words; a text shorter than a window loses nothing; windows
 are judged on the input; only a smaller doc_id counts, so rows with equal doc_id don't remove
-each other's words; other columns are kept; doc_id must be an integer and not null.
+each other's words; other columns are kept; a row without a doc_id neither removes words nor loses
+any; an empty table gives an empty result.
 """
 
 from __future__ import annotations

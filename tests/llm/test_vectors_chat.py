@@ -165,6 +165,23 @@ def test_pipeline_on_planted_cases(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language", "near_copies", "passages", "benchmark_free", "tokens"]
 
 
+def test_pipeline_on_empty_repeated_and_null_rows(spark, tmp_path):
+    """No documents; documents with equal ids, without ids, with nulls anywhere, and a very long one."""
+    rng = random.Random(8)
+    text = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.choice('aeiou')}{rng.randrange(10**6)}x" for _ in range(n))
+    shape = "doc_id long, text string, lang string, source string, n_chars long"
+    twice, long = text(60), text(30_000)
+    rows = [(1, twice, "en", "s", 1), (1, twice, "en", "s", 1), (1, text(60), "en", None, None), (None, text(60), None, "s", 1), (None, text(60), "en", None, 1), (2, long, None, None, None), (3, None, None, None, None), (None, None, None, None, None), (4, "", "en", "s", 0)]
+    item = text(20)
+    for name, some in (("none", []), ("some", rows)):
+        spark.createDataFrame(some, shape).write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([(1, item), (2, None), (None, "x")], "item_id long, text string").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+    got = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "1", "1", "2", "None", "None"] and all(r.exact for r in got)
+    assert max(r.n_tokens for r in got) > 30_000
+
+
 def test_jaccard_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 8)  # so that cells are compared block by block
     rng = random.Random(8)
