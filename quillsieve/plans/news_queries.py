@@ -12,7 +12,7 @@ from quillsieve.plans.catalogue import query
 from quillsieve.sources.scratch import Scratch
 
 PLAIN, OPT_IN = rules.Pack.default(), rules.Pack.default(True)
-SENT, SQL_SENT = F.coalesce(F.col("seq") % 10 == 0, F.lit(False)), "coalesce(seq % 10 = 0, false)"
+SQL_SENT = "coalesce(seq % 10 = 0, false)"
 
 
 def routed(spark: SparkSession, sf_dir: str, pack: rules.Pack = PLAIN) -> DataFrame:
@@ -62,7 +62,7 @@ def r25_label(spark, sf_dir):
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules and reasons, written once as a run does: a filter on what they say would otherwise be
     pushed below them, with a copy of every rule in it."""
-    return Scratch(spark, "news").cut(routed(spark, sf_dir).withColumn("reasons", rules.reasons(SENT)))
+    return Scratch(spark, "news").cut(routed(spark, sf_dir).withColumn("reasons", rules.reasons(F.expr(SQL_SENT))))
 
 
 SQL_JUDGED = f"{n.sql_routed(PLAIN)}, j AS (SELECT *, {n.sql_reasons(SQL_SENT)} AS reasons FROM n)"
