@@ -157,11 +157,6 @@ def f12_is_feed(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", urls.is_feed(F.col("url")).alias("feed"))
 
 
-@query(f"SELECT title, '' AS description, '' AS cityCode, true AS isActive, newsLink, '' AS thumbnailImage, postedBy, '2026-07-01T00:00:00.000Z' AS createdAt, '' AS postedByLogo FROM {SQL_ARTICLES}")
-def f13_payload(spark, sf_dir):
-    return articles.payload(as_articles(spark, sf_dir), F.lit(datetime(2026, 7, 1, tzinfo=UTC)).cast("timestamp"))
-
-
 _SHAPES = "CASE o_orderpriority WHEN '1-URGENT' THEN {0} WHEN '2-HIGH' THEN {1} WHEN '3-MEDIUM' THEN {2} WHEN '5-LOW' THEN {4} ELSE {3} END"
 
 
@@ -356,15 +351,16 @@ def a4_mention_ratio(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", a.alias("target"), b.alias("outside"), (a / F.greatest(F.lit(1), a + b) >= 0.67).alias("dominant"))
 
 
-_PAGED = ["https://realty.economictimes.indiatimes.com/tag/x", "https://www.hindustantimes.com/real-estate", "https://propnewstime.com/", "https://example.com/a"]
+_PAGED = "CASE page_id % 4 WHEN 0 THEN 'https://realty.economictimes.indiatimes.com/tag/t' || page_id WHEN 1 THEN 'https://www.hindustantimes.com/topic/t' || page_id WHEN 2 THEN 'https://propnewstime.com/' || page_id || '/' ELSE url END"
 
 
 @query(
-    f"WITH u AS (SELECT unnest({_PAGED}) AS url), p AS (SELECT url, n FROM u, generate_series(1, 15) AS g(n) WHERE n = 1 OR url NOT LIKE '%example%') SELECT url, n AS page, CASE WHEN n = 1 THEN url WHEN url LIKE '%/tag/%' THEN url || '/' || n WHEN url LIKE '%real-estate' THEN url || '/page-' || n ELSE url || 'page/' || n || '/' END AS page_url FROM p"
+    f"WITH u AS (SELECT page_id, page_id % 4 AS k, {_PAGED} AS url FROM pages), p AS (SELECT *, unnest(range(1, 16)) AS n FROM u) SELECT page_id, n AS page, CASE WHEN n = 1 THEN url WHEN k = 0 THEN url || '/' || n WHEN k = 1 THEN url || '/page-' || n ELSE url || 'page/' || n || '/' END AS page_url FROM p WHERE n = 1 OR k < 3"
 )
 def s11_page_urls(spark, sf_dir):
-    d = spark.createDataFrame([(u,) for u in _PAGED], "url string")
-    return d.select("url", F.posexplode(urls.page_urls(F.col("url"))).alias("page", "page_url")).withColumn("page", (F.col("page") + 1).cast("long"))
+    """The pages of sources of each paged kind, and of sources that have one page."""
+    d = table(spark, sf_dir, "pages").select("page_id", F.expr(_PAGED).alias("url"))
+    return d.select("page_id", F.posexplode(urls.page_urls(F.col("url"))).alias("page", "page_url")).withColumn("page", (F.col("page") + 1).cast("long"))
 
 
 @query("WITH n AS (SELECT n_nationkey AS seq, n_name AS company, CASE WHEN n_regionkey = 1 THEN 'Developer' ELSE 'News' END AS category, 'https://N' || n_nationkey || '.example.com/x' AS base FROM nation), p AS (SELECT * FROM (VALUES (0, true, 'Media Centre', '/media/'), (0, false, 'Latest News', '/'), (1, false, 'News Category', '/news')) AS v(pseq, developer, kind, path)), a AS (SELECT company, category, 'https://n' || seq || '.example.com' || CASE WHEN path = '/' THEN '/' ELSE rtrim(path, '/') END AS url, kind AS urlType, seq * 1000000 + pseq AS seq FROM n JOIN p ON developer = (category = 'Developer') UNION ALL SELECT 'Exact', 'News', 'https://n0.example.com/news', 'Real Estate Section', (1::BIGINT << 50)) SELECT url, max_by(company, seq) AS company, max_by(urlType, seq) AS kind, min(seq) AS seq FROM a GROUP BY url")

@@ -146,3 +146,9 @@ def w2_extra_urls(spark, sf_dir):
 def f15_views(spark, sf_dir):
     v = articles.views()
     return n.news(spark, sf_dir).select("seq", v["primary"].alias("primary_text"), v["search"].alias("search_text"), v["body"].alias("body"), v["url"].alias("url"))
+
+
+@query(f"WITH src AS ({n.sql_news()}) SELECT title, description, '' AS cityCode, true AS isActive, newsLink, thumbnailImage, postedBy, '2026-07-01T00:00:00.000Z' AS createdAt, postedByLogo FROM src")
+def f13_payload(spark, sf_dir):
+    """The fields of an API payload; the time of creation is that of publication."""
+    return articles.payload(n.news(spark, sf_dir), F.lit(None).cast("timestamp"))
