@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from quillsieve.functions.html import read_page
 from quillsieve.plans.queries import ORACLES, QUERIES
 
 
@@ -29,6 +30,22 @@ def held(spark, tmp_path):
     return check
 
 
+#: Pages whose heading was cut within a reference.
+CUT_PAGES = """SELECT range AS page_id, 'https://www.e.com/' || range AS url, '<html><head><script>a && b &amp</script></head><body><article><h1>Rates &amp;&amp; rules' || range || ' &amp</h1><p><b>Rates &amp; rules' || range || ' &amp</b>'
+  || repeat(' more words &middot; here', 8) || '</p></article></body></html>' AS html FROM range(3)"""
+
+
+def test_text_of_pages_with_cut_references(held):
+    assert all("&&amp" not in text and "&ampRates" in text for _, text in held("x1_main_text", "pages", CUT_PAGES))
+
+
+def test_references_without_a_semicolon_are_read_like_a_browser_unless_told():
+    page = "<!-- <script> --><p>x &amp y &copy &lt;b &foo; &#65; &#65</p><a href='/x?a=1&amp;copy=2'>l</a>"
+    assert read_page(page, fields=["text"]) == {"text": "x & y © <b &foo; A A"}
+    got = read_page(page, fields=["text", "links"], closed_only=True)
+    assert got["text"] == "x &amp y &copy <b &foo; A &#65" and got["links"][0]["href"] == "/x?a=1&copy=2"
+
+
 def test_state_of_sendings(held):
     """A URL that comes twice is two of the newest sendings."""
     got = held("k2_sent_state", "pages", "SELECT range AS page_id, 'https://E.com/' || (range - CAST(range % 1000 = 999 AS INTEGER)) AS url FROM range(10020)")
