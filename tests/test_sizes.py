@@ -43,6 +43,10 @@ def test_titles_with_cut_references(held):
     assert ("Rates && rules1 &amp" in [title for _, title in held("x2_title", "pages", CUT_PAGES)])
 
 
+def test_direct_articles_with_cut_references(held):
+    assert len(held("s4_direct_articles", "pages", CUT_PAGES)) == 3
+
+
 def test_references_without_a_semicolon_are_read_like_a_browser_unless_told():
     page = "<!-- <script> --><p>x &amp y &copy &lt;b &foo; &#65; &#65</p><a href='/x?a=1&amp;copy=2'>l</a>"
     assert read_page(page, fields=["text"]) == {"text": "x & y © <b &foo; A A"}
