@@ -25,7 +25,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by five-word shingles (Jaccard at least 0.8) the one with the smallest id stays."""
+    """Of documents linked by five-word shingles (Jaccard at least 0.8) the one with the smallest id stays.
+    They meet by SimHash fingerprints and, as most such pairs differ in too many bits, by minima beside them."""
     return jaccard.dedupe(docs).select(*COLUMNS)
 
 

@@ -1,9 +1,12 @@
 """Near copies by the Jaccard similarity of their sets of five-word shingles.
 
-Candidates are found by minima of HASHES hash functions over a text's shingles, ROWS of which make
-a band; texts that agree in one of BANDS bands are compared. At a similarity of exactly SIMILARITY
-a pair meets with probability 1 - (1 - 0.8**3)**12 = 0.9998, above it more often. Whatever meets
-is verified on the sets of shingles themselves, so no pair below SIMILARITY links.
+Candidates are found by SimHash fingerprints of the shingles: texts whose fingerprints the grid
+range-join of ``simhash`` links, directly or by others, are compared. Most pairs at SIMILARITY differ
+in more bits than a grid can hold, so beside the fingerprints there are minima of HASHES hash functions
+over a text's shingles, ROWS of which make a band; texts that agree in one of BANDS bands are compared
+too. At a similarity of exactly SIMILARITY a pair meets in a band with probability
+1 - (1 - 0.8**3)**12 = 0.9998, above it more often. Whatever meets is verified on the sets of
+shingles themselves, so no pair below SIMILARITY links.
 
 Texts with equal sets meet as one. A cell with many texts is compared in blocks of bounded size,
 as pairs of blocks in separate groups. A cell returns stars and not its pairs.
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillsieve.llm import simhash
 from quillsieve.llm.arrays import Words, add_columns, mix, quoted, ragged
 from quillsieve.llm.components import connected
 from quillsieve.llm.tables import Scratch
@@ -62,7 +66,7 @@ def shingles(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(arr: pa.Array) -> list[pa.Array]:
-    """The name of each text's set of shingles, their number, and the cells of its bands."""
+    """The name of each text's set of shingles, their number, the cells of its bands, and its fingerprint."""
     off, sums = shingles(arr)
     sizes = np.diff(off)
     some = np.flatnonzero(sizes)
@@ -75,7 +79,14 @@ def sketch(arr: pa.Array) -> list[pa.Array]:
             cells[:, band] = mix(cells[:, band] * np.uint64(0x9FB21C651E98DF25) + np.minimum.reduceat(sums * _FACTORS[k], at))
     bounds = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))])
     lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(cells.view(np.int64).ravel()))
-    return [pa.array(name.view(np.int64)), pa.array(sizes), lists]
+    return [pa.array(name.view(np.int64)), pa.array(sizes), lists, pa.array(simhash.fingerprint_array(arr, SHINGLE))]
+
+
+def fingerprint_cells(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(name, size, band, cell): the sets that links of fingerprints join share a cell of band BANDS."""
+    prints = docs.where("size > 0").select("name", "size", "fp").distinct()
+    found = connected(simhash.links(prints.select("fp").distinct(), scratch), scratch)
+    return prints.join(found, prints.fp == found.node, "left").select("name", "size", F.lit(BANDS).alias("band"), F.coalesce("root", "fp").alias("cell"))
 
 
 def close(off: np.ndarray, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -156,9 +167,9 @@ def components(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Dat
     """(doc_id, name, component_id): component_id is the smallest id that links reach."""
     scratch = Scratch(df.sparkSession, "jaccard")
     whole = df.select(quoted(doc_id).alias("doc_id"), F.xxhash64(quoted(text)).alias("tid"), quoted(text).cast("string").alias("text"))
-    made = [T.StructField("name", T.LongType()), T.StructField("size", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType()))]
+    made = [T.StructField("name", T.LongType()), T.StructField("size", T.LongType()), T.StructField("cells", T.ArrayType(T.LongType())), T.StructField("fp", T.LongType())]
     docs = scratch.cut(add_columns(whole, F.col("text"), sketch, made).drop("text"), "sketches")
-    cells = docs.select("name", "size", F.posexplode("cells").alias("band", "cell")).distinct()
+    cells = docs.select("name", "size", F.posexplode("cells").alias("band", "cell")).union(fingerprint_cells(docs, scratch)).distinct()
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int")
     full = cells.groupBy("band", "cell").agg(F.count("*").alias("n"), blocks.alias("blocks")).where("n > 1").drop("n")
     met = cells.join(full, ["band", "cell"]).withColumn("own", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
