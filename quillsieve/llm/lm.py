@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillsieve.llm.arrays import Words, binary, bounds, quoted, ragged, steps
+from quillsieve.llm.arrays import Words, binary, bounds, pieces, quoted, ragged, steps
 from quillsieve.llm.tables import Scratch
 
 #: At most RARE words, as a place takes two bytes.
@@ -44,6 +44,10 @@ STRETCH = 2048
 #: Weights in a row of the rows that are averaged.
 PART = 4096
 WINDOW, RATE, MOST_LANES, LARGEST, UPDATES = 32, 0.02, 512, 5, 100
+#: Rows of a class whose words are weighed at once, so that they stay in a core's cache.
+BLOCK = 1024
+#: Rows of a name from which on a matrix product adds them.
+LONG = 16
 END, OTHER = 0, 1  # names of the end and of words outside the list
 LN10 = float(np.log(10))
 
@@ -105,58 +109,70 @@ class Network:
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[k].ravel() for k in self.shapes]).astype(np.float64)
 
-    def step(self, a: np.ndarray, h: np.ndarray):
-        """New state after inputs of rows ``a``, and what backpropagation needs."""
-        n = HIDDEN
-        b = h @ self.p["u"]
-        gates = np.tanh((a[:, : 2 * n] + b[:, : 2 * n]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-        z, r = gates[:, :n], gates[:, n:]
-        new = np.tanh(a[:, 2 * n :] + r * b[:, 2 * n :])
-        return new + z * (h - new), z, r, new, b[:, 2 * n :]
-
     def output(self, states: np.ndarray, target: np.ndarray, learn: dict | None = None):
         """ln P of each target (by rank) given the state before it; gradients if ``learn``."""
-        size = self.size
-        s = np.concatenate([states, np.ones((len(states), 1), np.float32)], axis=1)
-        cls, word = target // size, target % size
-        rows = np.arange(len(s))
-        logit = s @ self.p["c"]  # weights are bounded, so no exponential overflows
-        e = np.exp(logit)
+        size, m = self.size, len(target)
+        cls = target // size
+        order = np.argsort(cls.astype(np.uint16), kind="stable")  # sorted by radix
+        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+        s = states.take(order, axis=0)
+        word = (target - cls * size).take(order) + np.arange(m) * size  # places in a flat table of sorted rows
+        cls = cls.take(order) + np.arange(m) * CLASSES
+        p, n = self.p["c"], HIDDEN  # the last row is the bias
+        e = s @ p[:n]  # weights are bounded, so no exponential overflows
+        e += p[n]
+        found = e.ravel().take(cls)
+        np.exp(e, out=e)
         total = e @ np.ones(CLASSES, np.float32)
-        out = logit[rows, cls] - np.log(total)
         back = None
         if learn is not None:
-            d = e / total[:, None]
-            d[rows, cls] -= 1
-            learn["c"] = s.T @ d
-            back = d @ self.p["c"].T
+            e *= (1 / total)[:, None]
+            e.ravel()[cls] -= 1
+            learn["c"] = np.concatenate([s.T @ e, np.ones((1, m), np.float32) @ e])
+            back = e @ p[:n].T
             learn["w"] = np.zeros(self.shapes["w"], np.float32)
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+        ones, row, inside = np.ones(size, np.float32), np.ones(BLOCK, np.float32), np.empty(m, np.float32)
+        room, spare = np.empty((BLOCK, size), np.float32), np.empty((BLOCK, n), np.float32)
         for c in range(CLASSES):
-            own = order[cuts[c] : cuts[c + 1]]
-            if not len(own):
-                continue
-            sc, at = s[own], np.arange(len(own))
-            logit = sc @ self.p["w"][c]
-            e = np.exp(logit)
-            total = e @ np.ones(size, np.float32)
-            out[own] += logit[at, word[own]] - np.log(total)
-            if learn is not None:
-                d = e / total[:, None]
-                d[at, word[own]] -= 1
-                learn["w"][c] = sc.T @ d
-                back[own] += d @ self.p["w"][c].T
-        return out, back if back is None else back[:, :HIDDEN]
+            p = self.p["w"][c]
+            for lo in range(cuts[c], cuts[c + 1], BLOCK):
+                hi = min(lo + BLOCK, cuts[c + 1])
+                sc, at, e = s[lo:hi], word[lo:hi] - lo * size, room[: hi - lo]
+                np.matmul(sc, p[:n], out=e)
+                e += p[n]
+                found[lo:hi] += e.ravel().take(at)
+                np.exp(e, out=e)
+                np.matmul(e, ones, out=inside[lo:hi])
+                if learn is not None:
+                    e *= (1 / inside[lo:hi])[:, None]
+                    e.ravel()[at] -= 1
+                    learn["w"][c, :n] += sc.T @ e
+                    learn["w"][c, n] += row[: hi - lo] @ e
+                    back[lo:hi] += np.matmul(e, p[:n].T, out=spare[: hi - lo])
+        place = np.empty(m, np.int64)
+        place[order] = np.arange(m)
+        out = (found - np.log(total) - np.log(inside)).take(place)
+        return out, back if back is None else back.take(place, axis=0)
 
     def adam(self, grads: dict[str, np.ndarray], n: int) -> None:
         self.t += 1
         rate = np.float32(RATE * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
         for k, g in grads.items():
-            g = np.clip(g / n, -1, 1).astype(np.float32)
-            self.m[k] = 0.9 * self.m[k] + np.float32(0.1) * g
-            self.v[k] = 0.999 * self.v[k] + np.float32(0.001) * g * g
-            self.p[k] = np.clip(self.p[k] - rate * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6)), -LARGEST, LARGEST)
+            g = (g / n).astype(np.float32, copy=False)
+            np.clip(g, -1, 1, out=g)
+            m, v, p = self.m[k], self.v[k], self.p[k]
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * g
+            v *= np.float32(0.999)
+            g *= g
+            g *= np.float32(0.001)
+            v += g
+            np.sqrt(v, out=g)
+            g += np.float32(1e-6)
+            np.divide(m, g, out=g)
+            g *= rate
+            p -= g
+            np.clip(p, -LARGEST, LARGEST, out=p)
 
     def lanes(self, names: np.ndarray, rank: np.ndarray, sizes: np.ndarray, learn: bool) -> np.ndarray:
         """ln P of every token of some documents, in order; learns from each window if asked."""
@@ -192,50 +208,101 @@ class Network:
         previous[heads] = END
         h = np.zeros((len(tokens), n), np.float32)
         active = np.searchsorted(-lens, -np.arange(len(at))).tolist()  # lanes with a token left
+        room = np.empty((10, WINDOW * len(tokens), n), np.float32)  # for all windows, one after the other
+        product = np.empty((3, len(tokens), n), np.float32)
         for lo in range(0, len(at), WINDOW):
             hi = min(lo + WINDOW, len(at))
-            trace, states = [], []
             edges = np.cumsum([0, *active[lo:hi]]).tolist()
             token = np.concatenate([at[t, : active[t]] for t in range(lo, hi)])
-            inputs = self.p["x"][previous[token]]
-            keeps = (~first[token]).astype(np.float32)[:, None]
-            for t in range(hi - lo):
+            m, each = len(token), range(hi - lo)
+            name = previous[token]
+            fresh = np.flatnonzero(first[token])  # states that start anew
+            cut = np.searchsorted(fresh, edges)
+            anew = [fresh[cut[t] : cut[t + 1]] - edges[t] for t in each]
+            # Gates lie one after the other (update, reset, new), so that each is one run of memory.
+            # The first two are sigmoids, by way of tanh of half their input.
+            half = np.array([0.5, 0.5, 1], np.float32)
+            u = np.ascontiguousarray(self.p["u"].reshape(n, 3, n).transpose(1, 0, 2))
+            x = self.p["x"].reshape(-1, 3, n)
+            before, states, hidden, d_new, gates, d = *room[:4, :m], room[4:7, :m], room[7:, :m]
+            for k in range(3):
+                np.take(x[:, k] * half[k], name, axis=0, out=gates[k], mode="clip")
+            u_half = u * half[:, None, None]
+            for t in each:
                 a, b = edges[t], edges[t + 1]
-                keep = keeps[a:b]
-                h0 = h[: b - a] * keep
-                h, z, r, new, bn = self.step(inputs[a:b], h0)
-                states.append(h)
-                if learn:
-                    trace.append((h0, z, r, new, bn, keep))
+                h0, gate, new, bn, own = before[a:b], gates[:2, a:b], gates[2, a:b], hidden[a:b], states[a:b]
+                h0[:] = h[: b - a]
+                h0[anew[t]] = 0
+                gate += np.matmul(h0, u_half[:2], out=product[:2, : b - a])
+                np.tanh(gate, out=gate)
+                gate *= np.float32(0.5)
+                gate += np.float32(0.5)
+                np.matmul(h0, u[2], out=bn)
+                new += np.multiply(gate[1], bn, out=product[2, : b - a])
+                np.tanh(new, out=new)
+                np.subtract(h0, new, out=own)
+                own *= gate[0]
+                own += new
+                h = own
             grads: dict | None = {} if learn else None
-            out[token], back = self.output(np.concatenate(states), rank[token], grads)
-            if learn:
-                dh = np.zeros_like(h)
-                da, db = np.empty((len(token), 3 * n), np.float32), np.empty((len(token), 3 * n), np.float32)
-                for t in reversed(range(hi - lo)):
-                    h0, z, r, new, bn, keep = trace[t]
-                    lo_t, hi_t = edges[t], edges[t + 1]
-                    g = back[lo_t:hi_t].copy()
-                    g[: len(dh)] += dh[: len(g)]
-                    dn = g * (1 - z) * (1 - new * new)
-                    x = da[lo_t:hi_t]
-                    x[:, :n] = g * (h0 - new) * z * (1 - z)
-                    x[:, n : 2 * n] = dn * bn * r * (1 - r)
-                    x[:, 2 * n :] = dn
-                    y = db[lo_t:hi_t]
-                    y[:, : 2 * n] = x[:, : 2 * n]
-                    y[:, 2 * n :] = dn * r
-                    dh = (g * z + y @ self.p["u"].T) * keep
-                order = np.argsort(previous[token], kind="stable")
-                name = previous[token][order]
-                cut = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
-                grads["x"] = np.zeros(self.shapes["x"], np.float32)
-                grads["x"][name[cut]] = np.add.reduceat(da[order], cut, axis=0)
-                grads["u"] = np.concatenate([t[0] for t in trace]).T @ db
-                self.adam(grads, len(token))
+            out[token], back = self.output(states, rank[token], grads)
+            if not learn:
+                continue
+            z, r, new = gates
+            # What the gradient of a state is multiplied by: towards update, reset and new.
+            to_z, to_n, to_r = before - new, 1 - new * new, hidden * r
+            rest = 1 - z
+            to_z *= z
+            to_z *= rest
+            to_n *= rest
+            to_r *= 1 - r
+            back_u = np.ascontiguousarray(u.transpose(0, 2, 1))
+            dh = np.zeros_like(h)
+            for t in reversed(each):
+                a, b = edges[t], edges[t + 1]
+                g, dn = back[a:b], d_new[a:b]
+                g[: len(dh)] += dh[: len(g)]
+                np.multiply(g, to_n[a:b], out=dn)
+                np.multiply(g, to_z[a:b], out=d[0, a:b])
+                np.multiply(dn, to_r[a:b], out=d[1, a:b])
+                np.multiply(dn, r[a:b], out=d[2, a:b])
+                dh = g * z[a:b]
+                for part in np.matmul(d[:, a:b], back_u, out=product[:, : b - a]):
+                    dh += part
+                dh[anew[t]] = 0
+            grads["u"] = np.concatenate(before.T @ d, axis=1)
+            grads["x"] = _sums(name, [d[0], d[1], d_new], len(self.p["x"]))
+            self.adam(grads, m)
         return out
 
 
+def _sums(name: np.ndarray, parts: list[np.ndarray], n: int) -> np.ndarray:
+    """Sums of the rows of each name, of some tables side by side. Long groups are sums by matrix
+    products, which are quicker; the rows of OTHER, about half of all, stay where they are."""
+    out = np.empty((n, len(parts), parts[0].shape[1]), np.float32)
+    usual = (name == OTHER).astype(np.float32)
+    at = np.flatnonzero(name != OTHER)
+    own = name[at].astype(np.uint16)
+    at = at[np.argsort(own, kind="stable")]
+    flat = out.reshape(n, -1)
+    rows = np.empty((len(at), flat.shape[1]), np.float32)
+    for k, part in enumerate(parts):
+        rows[:, k * out.shape[2] : (k + 1) * out.shape[2]] = part.take(at, axis=0)
+    count = np.bincount(own, minlength=n)
+    end = np.cumsum(count)
+    flat[:] = 0
+    ones = np.ones(int(count.max()), np.float32)
+    for k in np.flatnonzero(count >= LONG).tolist():
+        np.matmul(ones[: count[k]], rows[end[k] - count[k] : end[k]], out=flat[k])
+    few = np.flatnonzero((count > 0) & (count < LONG))
+    if len(few):
+        at = ragged(end[few] - count[few], count[few])
+        flat[few] = np.add.reduceat(rows.take(at, axis=0), np.cumsum(count[few]) - count[few], axis=0)
+    for k, part in enumerate(parts):
+        out[OTHER, k] = usual @ part
+    return flat
+
+
 class Coded:
     """Documents as places in the frequent list, two bytes a word; each gets its end."""
 
@@ -257,8 +324,8 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to words and their counts, aggregated slice by slice."""
     for batch in batches:
         for part in steps(batch, 0):
-            codes, distinct = Words(part.column(0), lower=True).codes()
-            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.binary()), pa.array(np.bincount(codes, minlength=len(distinct)))], ["word", "n"])
+            codes, distinct = Words(part.column(0), lower=True).coded()
+            yield pa.RecordBatch.from_arrays([distinct.cast(pa.binary()), pa.array(np.bincount(codes, minlength=len(distinct)))], ["word", "n"])
 
 
 def _code_rows(shared):
@@ -271,13 +338,13 @@ def _code_rows(shared):
         for batch in batches:
             for part in steps(batch, 3):
                 w = Words(part.column(3), lower=True)
-                codes, distinct = w.codes()
-                place = lists.places(distinct)[codes]
+                codes, distinct = w.coded()
+                place = lists.places(pieces(distinct))[codes]
                 doc = np.repeat(np.arange(len(part)), w.counts)
                 rare = np.flatnonzero(place == RARE)
                 pair, n = np.unique(doc[rare] * max(1, len(distinct)) + codes[rare], return_counts=True)
                 at = pa.array(pair // max(1, len(distinct)))
-                word = pa.array(distinct, pa.binary()).take(pa.array(pair % max(1, len(distinct))))
+                word = distinct.cast(pa.binary()).take(pa.array(pair % max(1, len(distinct))))
                 yield pa.RecordBatch.from_arrays([word, *[part.column(k).take(at) for k in range(3)], pa.array(n), pa.nulls(len(pair), pa.binary())], names)
                 packed = binary(w.off * 2, place.astype("<u2").view(np.uint8))
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(part), pa.binary()), *part.columns[:3], pa.nulls(len(part), pa.int64()), packed], names)

@@ -5,6 +5,7 @@ import pickle
 import random
 import re
 import shutil
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log10
@@ -350,6 +351,60 @@ def test_lm_gradients():
         assert (loss[0] - loss[1]) / 2e-2 == pytest.approx(seen[key][at], abs=2e-3)
 
 
+def random_network(rng, docs_of: list[int]):
+    lists = lm.Lists([str(i).encode() for i in range(400)])
+    lists.counted(rng.integers(0, 1000, 400), 50, 3000)
+    sizes = np.array(docs_of)
+    names = rng.integers(0, 200, int(sizes.sum()))
+    names[np.cumsum(sizes) - 1] = lm.END
+    return lists, lm.Network(lists), names, sizes
+
+
+def test_lm_lanes_equal_one_document_at_a_time():
+    """Documents that end inside windows, and longer ones than a window, against plain steps."""
+    rng = np.random.default_rng(3)
+    lists, net, names, sizes = random_network(rng, [1, 70, 33, 32, 5, 1, 100, 64, 2, 31] * 3)
+    net.p["c"] += rng.normal(0, 0.3, net.p["c"].shape).astype(np.float32)
+    net.p["w"] += rng.normal(0, 0.3, net.p["w"].shape).astype(np.float32)
+    p, n = {k: v.astype(np.float64) for k, v in net.p.items()}, lm.HIDDEN
+    soft = lambda x: x - np.log(np.exp(x).sum())
+    want, at = [], 0
+    for size in sizes.tolist():
+        h, before = np.zeros(n), lm.END
+        for name in names[at : at + size].tolist():
+            a, b = p["x"][before], h @ p["u"]
+            z, r = 1 / (1 + np.exp(-(a + b)[:n])), 1 / (1 + np.exp(-(a + b)[n : 2 * n]))
+            new = np.tanh(a[2 * n :] + r * b[2 * n :])
+            h, before = new + z * (h - new), name
+            cls, word = divmod(int(lists.rank[name]), net.size)
+            s = np.append(h, 1)
+            want.append(soft(s @ p["c"])[cls] + soft(s @ p["w"][cls])[word])
+        at += size
+    assert net.lanes(names, lists.rank[names], sizes, learn=False) == pytest.approx(np.array(want), abs=1e-4)
+
+
+def test_lm_sums_of_names():
+    rng = np.random.default_rng(5)
+    for m in (1, 7, 3000):
+        for name in (rng.zipf(1.4, m) % 256, np.ones(m, np.int64), rng.integers(0, 256, m)):
+            parts = [rng.normal(size=(m, 4)).astype(np.float32) for _ in range(3)]
+            want = np.zeros((256, 12))
+            np.add.at(want, name, np.concatenate(parts, axis=1))
+            assert lm._sums(name, parts, 256) == pytest.approx(want, abs=1e-3)
+
+
+def test_lm_learning_needs_little_beside_its_tables(monkeypatch):
+    """Learning is bound by memory: what a window takes, in numbers a token."""
+    monkeypatch.setattr(lm, "UPDATES", 1)
+    lists, net, names, sizes = random_network(np.random.default_rng(4), [64] * 512)
+    rank = lists.rank[names]
+    tracemalloc.start()
+    net.lanes(names, rank, sizes, learn=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak / 4 / (lm.WINDOW * 512) < 550  # 486; 650 with tables made anew for each step
+
+
 # Decontamination
 
 
