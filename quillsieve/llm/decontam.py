@@ -44,6 +44,8 @@ from quillsieve.llm.tables import Scratch
 WINDOW, LEAST, LITERALS, ENOUGH = 8, 4, 4, 6
 #: Bits of the filter: as many for each hash, and at most (128 MB).
 BITS_EACH, FILTER_BITS = 32, 1 << 30
+#: Windows that are hashed at once, so that they stay in a core's cache.
+BLOCK = 1 << 15
 #: Remembered words of a Python worker.
 MEMORY = 200_000
 
@@ -56,13 +58,23 @@ NUMBERS = set("zero one two three four five six seven eight nine ten eleven twel
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?\Z")
 _MEASURE = re.compile(r"[+-]?\d[\d.,]*([a-z]+)\Z")
 _TRIM = re.compile(r"^[\W_]+|[\W_]+$")
+#: Some of the characters that _TRIM removes.
+_MARKS = "".join(c for c in map(chr, range(128)) if not c.isalnum()) + "«»“”„‘’–—…"
+_CLOSERS, _ENDS = "\"')]»”’", (".", "!", "?", ":")
 LITERAL, NUMBER, UNIT, MEASURE, NAME = range(5)
+_WORD_KINDS = dict.fromkeys(UNITS, UNIT) | dict.fromkeys(NUMBERS, NUMBER)
 _SLOT = mix(np.arange(1, 6, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def describe(word: bytes) -> tuple[int, int, bool, bool, bool, bytes]:
     """(hash, kind, capitalised, ends a sentence, has content, core) of a word."""
     raw = word.decode("utf-8", "replace")
+    core = raw.strip(_MARKS)
+    if core.isalpha():  # nothing more to trim, and no digit; most words are like this
+        low = core.lower()
+        data = low.encode()
+        ends = len(core) < len(raw) and raw.rstrip(_CLOSERS)[-1:] in _ENDS
+        return xxhash.xxh3_64_intdigest(data), _WORD_KINDS.get(low, LITERAL), core[0].isupper(), ends, True, data
     core = _TRIM.sub("", raw)
     low = core.lower()
     kind = LITERAL
@@ -73,7 +85,7 @@ def describe(word: bytes) -> tuple[int, int, bool, bool, bool, bytes]:
     elif (m := _MEASURE.match(low)) and m[1] in UNITS:
         kind = MEASURE
     data = low.encode()
-    return xxhash.xxh3_64_intdigest(data), kind, core[:1].isupper(), raw.rstrip("\"')]»”’")[-1:] in (".", "!", "?", ":"), bool(core), data
+    return xxhash.xxh3_64_intdigest(data), kind, core[:1].isupper(), raw.rstrip(_CLOSERS)[-1:] in _ENDS, bool(core), data
 
 
 _RECORD = np.dtype([("hash", "<u8"), ("kind", "i1"), ("capital", "?"), ("ends", "?"), ("some", "?")])
@@ -115,18 +127,30 @@ class Templates:
     def core(self, i: int) -> bytes:
         return describe(self.distinct[self.codes[i]])[5]
 
+    def hashes(self, width: int, reading: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(first place, hashes) of the windows at all places, BLOCK by BLOCK; those across the end
+        of a text among them.
+
+        Two halves make a hash of twice the words; two that overlap make the last one.
+        """
+        name = self.names[reading]
+        for lo in range(0, len(name) - width + 1, BLOCK):
+            sums, size = mix(name[lo : lo + BLOCK + width - 1]), 1
+            while size < width:
+                shift = min(size, width - size)
+                sums = mix(sums[:-shift] * np.uint64(0x9FB21C651E98DF25) + sums[shift:])
+                size += shift
+            yield lo, sums
+
+    def inside(self, at: np.ndarray, width: int) -> np.ndarray:
+        """(text of each window at these places, whether it lies within the text)."""
+        doc = np.searchsorted(self.off, at, side="right")
+        return doc - 1, at + width <= self.off[np.minimum(doc, len(self.off) - 1)]
+
     def windows(self, width: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of the windows that lie within one text."""
-        name = self.names[reading]
-        n = len(name) - width + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        sums = np.zeros(n, np.uint64)
-        for k in range(width):
-            sums = mix(sums * np.uint64(0x9FB21C651E98DF25) + name[k : k + n])
-        doc = np.searchsorted(self.off, np.arange(n), side="right")
-        inside = np.arange(n) + width <= self.off[np.minimum(doc, len(self.off) - 1)]
-        at = np.flatnonzero(inside)
+        sums = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in self.hashes(width, reading))])
+        at = np.flatnonzero(self.inside(np.arange(len(sums)), width)[1])
         return at, sums[at]
 
 
@@ -141,6 +165,8 @@ class Filter:
         self.data = np.zeros(self.bits // 8, np.uint8)
 
     def places(self, hashes: np.ndarray, k: int) -> np.ndarray:
+        if k < 2:  # the halves of a hash, whose bits are mixed already
+            return (hashes >> np.uint64(32 * k) & np.uint64(self.bits - 1)).astype(np.int64)
         return (mix(hashes + np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & np.uint64(self.bits - 1)).astype(np.int64)
 
     def add(self, hashes: np.ndarray) -> None:
@@ -188,6 +214,16 @@ def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(width, pa.int32()), pa.array(total, pa.int32()), pa.array(words, WORDS), pa.array(windows, kind)], ["item_id", "iid", "width", "total", "words", "windows"])
 
 
+def _passing(sent: Filter, t: Templates, width: int, reading: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the windows that the filter lets through."""
+    at, own = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for lo, hashes in t.hashes(width, reading):
+        hit = sent.passing(hashes)
+        at.append(lo + hit)
+        own.append(hashes[hit])
+    return np.concatenate(at), np.concatenate(own)
+
+
 def _hit_rows(shared, kinds: list[int]):
     """Columns doc_id, tid, text to HITS: windows that the filter lets through."""
 
@@ -196,12 +232,11 @@ def _hit_rows(shared, kinds: list[int]):
             for part in steps(batch, 2):
                 t = Templates(part.column(2))
                 for kind in kinds:
-                    at, own = t.windows(kind // 4, kind % 4)
-                    hit = shared.value.passing(own)
-                    if not len(hit):
+                    at, own = _passing(shared.value, t, kind // 4, kind % 4)
+                    doc, within = t.inside(at, kind // 4)
+                    at, own, doc = at[within], own[within], doc[within]
+                    if not len(at):
                         continue
-                    at, own = at[hit], own[hit]
-                    doc = np.searchsorted(t.off, at, side="right") - 1
                     words = [[{"kind": int(t.kind[j]), "core": t.core(j)} for j in range(p, p + kind // 4)] for p in at.tolist()]
                     ids = [part.column(k).take(pa.array(doc)) for k in (0, 1)]
                     yield pa.RecordBatch.from_arrays([*ids, pa.array(np.full(len(at), kind, np.int32)), pa.array(own.view(np.int64)), pa.array((at - t.off[doc]).astype(np.int32)), pa.array(words, WORDS)], ["doc_id", "tid", "kind", "hash", "p", "words"])

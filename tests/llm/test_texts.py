@@ -525,6 +525,61 @@ def test_decontam_ignores_the_text_around(spark):
     assert got == {0: False, 1: False, 2: False, 3: False}
 
 
+ODD_WORDS = "Anna. (buys) 3 $3,000.50 5kg 5KG. km KM! twelve TWELVE, -7 1st 12% don't _x_ __ ... İz ΑΣ' 'Σ ªb x² Ⅷ ٣ ٣km ½ e\u0301tude. «Où» „Wie“ end.\") Straße! ẞ? a:b co-op. x… ’tis \x00y\x1f end.\x00 kg, 二十 Hundred? 7.5kg"
+
+
+def test_decontam_describes_words_by_their_patterns():
+    """The short way for plain words gives what the patterns give."""
+    plain = [w.encode() for w in ODD_WORDS.split(" ")] + [b"a\xffb", b"\xff", b"\xe2\x80", b"ok\xe2\x80"]
+    for word in plain:
+        raw = word.decode("utf-8", "replace")
+        core = re.sub(r"^[\W_]+|[\W_]+$", "", raw)
+        low = core.lower()
+        measure = re.match(r"[+-]?\d[\d.,]*([a-z]+)\Z", low)
+        number = re.match(r"[+-]?[$€£]?\d[\d.,:/]*(?:%|st|nd|rd|th)?\Z", low)
+        kind = decontam.LITERAL
+        if number or low in decontam.NUMBERS:
+            kind = decontam.NUMBER
+        elif low in decontam.UNITS:
+            kind = decontam.UNIT
+        elif measure and measure[1] in decontam.UNITS:
+            kind = decontam.MEASURE
+        ends = bool(re.search(r"[.!?:][\"')\]»”’]*\Z", raw))
+        assert decontam.describe(word) == (xxhash.xxh3_64_intdigest(low.encode()), kind, core[:1].isupper(), ends, bool(core), low.encode()), word
+
+
+@pytest.mark.parametrize("width", range(1, 11))
+def test_decontam_windows_are_equal_where_their_words_are(width, monkeypatch):
+    """Of all widths, over several blocks and texts, and texts shorter than a window."""
+    monkeypatch.setattr(decontam, "BLOCK", 16)
+    rng = random.Random(width)
+    texts = [words(rng, rng.choice([0, 1, 3, width, 30]), 2) for _ in range(40)]
+    t = decontam.Templates(pa.array([" ".join(x) for x in texts]))
+    want = [(int(t.off[d]) + i, tuple(x[i : i + width])) for d, x in enumerate(texts) for i in range(len(x) - width + 1)]
+    at, hashes = t.windows(width, 1)
+    assert at.tolist() == [p for p, _ in want]
+    assert len(set(zip(hashes.tolist(), (w for _, w in want)))) == len(set(hashes.tolist())) == len({w for _, w in want})
+
+
+def test_decontam_work_for_a_word_and_a_window(monkeypatch):
+    """Plain words need no pattern; a window of 8 words is hashed in 4 rounds."""
+    class Counting:
+        n = 0
+
+        def sub(self, *args):
+            self.n += 1
+            return re.sub(r"^[\W_]+|[\W_]+$", *args)
+
+    trim, mixed = Counting(), []
+    monkeypatch.setattr(decontam, "_TRIM", trim)
+    monkeypatch.setattr(decontam, "_KNOWN", {})
+    t = decontam.Templates(pa.array([" ".join(f"{a}{b}{c}{d}." for a in "abcdefgh" for b in "aeiou" for c in "klmnopqrst" for d in "xyz") + " 12 a-b"]))
+    assert trim.n == 2
+    monkeypatch.setattr(decontam, "mix", lambda x, mix=decontam.mix: mixed.append(len(x)) or mix(x))
+    n = len(t.windows(8, 1)[0])
+    assert n == 1195 and sum(mixed) < 4.1 * n
+
+
 # Rollups
 
 
